@@ -5,6 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 _QUERIES = {
+    "op2_token_counts": ("tokens", None),
     "op6_source_mixing": ("mixing", "OP6_SQL"),
 }
 
