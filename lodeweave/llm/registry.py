@@ -6,6 +6,7 @@ from importlib import import_module
 
 _QUERIES = {
     "op2_token_counts": ("tokens", None),
+    "op4_quality_rules": ("quality", None),
     "op6_source_mixing": ("mixing", "OP6_SQL"),
 }
 
