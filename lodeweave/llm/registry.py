@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from importlib import import_module
 
+#: name: (module, name of its SQL or None)
 _QUERIES = {
     "op2_token_counts": ("tokens", None),
     "op4_quality_rules": ("quality", None),
     "op6_source_mixing": ("mixing", "OP6_SQL"),
+    "op7_personal_data": ("pii", None),
 }
 
 
