@@ -7,6 +7,7 @@ from importlib import import_module
 #: name: (module, name of its SQL or None)
 _QUERIES = {
     "op2_token_counts": ("tokens", None),
+    "op3_suffix_dedup": ("repeats", None),
     "op4_quality_rules": ("quality", None),
     "op6_source_mixing": ("mixing", "OP6_SQL"),
     "op7_personal_data": ("pii", None),
