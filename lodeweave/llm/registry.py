@@ -11,6 +11,7 @@ _QUERIES = {
     "op4_quality_rules": ("quality", None),
     "op6_source_mixing": ("mixing", "OP6_SQL"),
     "op7_personal_data": ("pii", None),
+    "op9_decontamination": ("tiling", None),
     "op10_simhash": ("simhash", None),
 }
 
