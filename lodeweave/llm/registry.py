@@ -9,6 +9,7 @@ _QUERIES = {
     "op2_token_counts": ("tokens", None),
     "op3_suffix_dedup": ("repeats", None),
     "op4_quality_rules": ("quality", None),
+    "op5_lattice_scores": ("lattice", None),
     "op6_source_mixing": ("mixing", "OP6_SQL"),
     "op7_personal_data": ("pii", None),
     "op9_decontamination": ("tiling", None),
