@@ -12,6 +12,7 @@ _QUERIES = {
     "op5_lattice_scores": ("lattice", None),
     "op6_source_mixing": ("mixing", "OP6_SQL"),
     "op7_personal_data": ("pii", None),
+    "op8_quality_classifier": ("classify", None),
     "op9_decontamination": ("tiling", None),
     "op10_simhash": ("simhash", None),
 }
