@@ -6,6 +6,7 @@ from importlib import import_module
 
 #: name: (module, name of its SQL or None)
 _QUERIES = {
+    "op1_warc_revisits": ("warc", None),
     "op2_token_counts": ("tokens", None),
     "op3_suffix_dedup": ("repeats", None),
     "op4_quality_rules": ("quality", None),
