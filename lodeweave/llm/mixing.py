@@ -85,6 +85,34 @@ def take(docs: DataFrame, seed: int = SEED) -> DataFrame:
     return placed.select("doc_id", "source", "size", "source_size", "target", (whole * F.col("size") + part).cast("long").alias("taken"), "text_hash")
 
 
+def mixed(docs: DataFrame, seed: int = SEED) -> DataFrame:
+    """The mix itself: each document as often as it is taken, the one at a source's cut with its first words only.
+
+    Columns as they were; n_chars (if there) is made anew for a text that is cut. A document whose `taken` is 0 is
+    not in the mix; one without words is in it once, as it costs nothing. Rows alike in id, source and text are
+    numbered, so that each meets one decision.
+    """
+    found = stored(take(docs, seed), "taken")
+    alike = W.partitionBy("doc_id", "source", "text_hash")
+    same = F.col("d.doc_id").cast("string").eqNullSafe(F.col("m.doc_id").cast("string")) & F.col("d.source").cast("string").eqNullSafe(F.col("m.source")) & (F.md5(as_text("d.text")) == F.col("m.text_hash"))
+    rows = docs
+    if found.groupBy("doc_id", "source", "text_hash").count().filter("count > 1").limit(1).count():
+        found = found.withColumn("__lw_nth", F.row_number().over(alike.orderBy(F.col("taken").desc())))
+        rows = docs.withColumn("__lw_nth", F.row_number().over(W.partitionBy("doc_id", F.col("source").cast("string"), F.md5(as_text())).orderBy("doc_id")))
+        same = same & (F.col("d.__lw_nth") == F.col("m.__lw_nth"))
+    size, taken = F.col("m.size"), F.col("m.taken")
+    whole = F.when(size > 0, F.floor(taken / size)).otherwise(F.lit(1)).cast("int")
+    part = F.when(size > 0, taken % size).otherwise(F.lit(0)).cast("int")
+    copies = F.concat(F.array_repeat(F.lit(0), whole), F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<int>")))
+    each = rows.alias("d").join(found.alias("m"), same).select(*(F.col(f"d.`{c}`") for c in docs.columns), F.explode(copies).alias("__lw_part"))
+    cut = F.col("__lw_part") > 0
+    words = F.regexp_extract_all(as_text(), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
+    out = each.withColumn("text", F.when(cut, F.array_join(F.slice(words, F.lit(1), F.greatest(F.col("__lw_part"), F.lit(1))), "")).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(cut, F.char_length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+    return out.select(docs.columns)
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return take(docs).select("doc_id", "source", "size", "source_size", "target", "taken")

@@ -32,7 +32,7 @@ SEED, COVERAGE = 5, 0.8
 SENT = 16 << 20
 _WORD = np.zeros(256, bool)
 _WORD[48:58] = _WORD[65:91] = _WORD[97:123] = _WORD[128:] = True
-_FOUND = {"tiling_item": "long", "tiling_coverage": "double", "tiling_items": "long"}
+_FOUND = {"__lw_item": "long", "__lw_coverage": "double", "__lw_items": "long"}
 
 
 def word_hashes(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -166,7 +166,7 @@ def _with_leaks(docs: DataFrame, bench: DataFrame, seed: int, coverage: float, s
     items = bench.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-int(total) // sent))
-    docs = docs.withColumns({"tiling_item": F.lit(None).cast("long"), "tiling_coverage": F.lit(0.0), "tiling_items": F.lit(0).cast("long")})
+    docs = docs.withColumns({"__lw_item": F.lit(None).cast("long"), "__lw_coverage": F.lit(0.0), "__lw_items": F.lit(0).cast("long")})
     for block in range(blocks):
         if block:
             docs = stored(docs, "tiling")
@@ -178,12 +178,12 @@ def leaks(docs: DataFrame, bench: DataFrame, seed: int = SEED, coverage: float =
     """doc_id, contaminated, item_id and coverage (of the item covered most), n_items (covered enough) of each row."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = _with_leaks(docs, bench, seed, coverage, sent)
-    return found.select("doc_id", (F.col("tiling_items") > 0).alias("contaminated"), F.col("tiling_item").alias("item_id"), F.col("tiling_coverage").alias("coverage"), F.col("tiling_items").alias("n_items"))
+    return found.select("doc_id", (F.col("__lw_items") > 0).alias("contaminated"), F.col("__lw_item").alias("item_id"), F.col("__lw_coverage").alias("coverage"), F.col("__lw_items").alias("n_items"))
 
 
 def decontaminated(docs: DataFrame, bench: DataFrame, seed: int = SEED, coverage: float = COVERAGE, sent: int = SENT) -> DataFrame:
     """The documents that cover no item enough; columns as they were."""
-    return _with_leaks(docs, bench, seed, coverage, sent).filter("tiling_items = 0").select(docs.columns)
+    return _with_leaks(docs, bench, seed, coverage, sent).filter(F.col("__lw_items") == 0).select(docs.columns)
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
