@@ -41,7 +41,7 @@ _NAMES = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 _DATE = "2024-01-01T00:00:00Z"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _RECORD = "archive string, record binary"
-_READ = "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, refers_uri string, record_id string, archive string, place long, payload binary"
+_READ = "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, refers_uri string, record_id string, archive string, place long, member binary"
 
 
 def digest(payload: bytes) -> str:
@@ -108,10 +108,11 @@ def write_pages(pages: DataFrame, path: str, most: int = ARCHIVE) -> None:
     _write(pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")).mapInArrow(run, _RECORD), path)
 
 
-def _members(raw: bytes) -> Iterator[bytes]:
-    """The contents of each gzip member that has any."""
+def _members(raw: bytes) -> Iterator[tuple[bytes, bytes]]:
+    """Each gzip member that has contents, and the contents."""
     view, at = memoryview(raw), 0
     while at < len(raw):
+        start = at
         engine = zlib.decompressobj(31)
         out = [engine.decompress(view[at : at + 65536])]
         at += min(65536, len(raw) - at)
@@ -122,7 +123,7 @@ def _members(raw: bytes) -> Iterator[bytes]:
             raise ValueError("the archive ends within a record")
         at -= len(engine.unused_data)
         if data := b"".join(out):
-            yield data
+            yield raw[start:at], data
 
 
 def parsed(data: bytes) -> tuple[dict[str, str], bytes]:
@@ -135,25 +136,30 @@ def parsed(data: bytes) -> tuple[dict[str, str], bytes]:
     return fields, data[end + 4 : end + 4 + int(fields["content-length"])]
 
 
-def read_archives(spark: SparkSession, path: str, payloads: bool = False) -> DataFrame:
-    """The records of all archives under path; with their payloads if asked for. Payload digests are computed, where there is a payload."""
+def payload_of(block: bytes) -> bytes:
+    """What stands behind the HTTP head."""
+    return block[block.index(b"\r\n\r\n") + 4 :]
+
+
+def read_archives(spark: SparkSession, path: str, with_records: bool = False) -> DataFrame:
+    """The records of all archives under path; with the gzip members that hold them if asked for. Payload digests are computed, where there is a payload."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["page_id", "url", "record_type", "payload_bytes", "payload_digest", "refers_to", "refers_uri", "record_id", "archive", "place", "payload"]
+        names = ["page_id", "url", "record_type", "payload_bytes", "payload_digest", "refers_to", "refers_uri", "record_id", "archive", "place", "member"]
         kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.binary()]
         number = lambda x: None if x is None else int(x)
         for batch in batches:
             for i in range(len(batch)):
                 rows, size, archive = [], 0, batch.column(0)[i].as_py()
-                for place, data in enumerate(_members(batch.column(1)[i].as_py())):
+                for place, (member, data) in enumerate(_members(batch.column(1)[i].as_py())):
                     fields, block = parsed(data)
-                    payload, sha = None, fields["warc-payload-digest"].removeprefix("sha1:")
+                    sha = fields["warc-payload-digest"].removeprefix("sha1:")
                     n = int(fields["x-payload-length"]) if "x-payload-length" in fields else None
                     if fields["warc-type"] == "response":
-                        payload = block[block.index(b"\r\n\r\n") + 4 :]
+                        payload = payload_of(block)
                         n, sha = len(payload), digest(payload)
-                    rows.append((number(fields.get("x-page-id")), fields.get("warc-target-uri"), fields["warc-type"], n, sha, number(fields.get("x-refers-to-page")), fields.get("warc-refers-to-target-uri"), fields["warc-record-id"], archive, place, payload if payloads else None))
-                    size += len(payload or b"") if payloads else 100
+                    rows.append((number(fields.get("x-page-id")), fields.get("warc-target-uri"), fields["warc-type"], n, sha, number(fields.get("x-refers-to-page")), fields.get("warc-refers-to-target-uri"), fields["warc-record-id"], archive, place, member if with_records else None))
+                    size += len(member) if with_records else 100
                     if size > 8 << 20:
                         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
                         rows, size = [], 0
@@ -166,13 +172,17 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = False) -> Dat
 
 
 def resolutions(headers: DataFrame, least: int = LEAST) -> DataFrame:
-    """archive, place, and original (page_id, url, record_id; null for a response) of each record of headers."""
+    """archive, place, and the original's to_page, to_url and to_record, of each record of headers that repeats one.
+
+    Records that were revisits before are joined to the response of their digest like the others.
+    """
     last = F.struct(F.col("page_id").isNull().alias("none"), F.col("page_id"), F.col("archive"), F.col("place"), F.col("url"), F.col("record_id"))
-    firsts = headers.filter(F.col("payload_bytes") >= least).groupBy("payload_digest").agg(F.count("*").alias("n"), F.min(last).alias("first")).filter("n > 1")
+    long_enough = F.coalesce(F.col("payload_bytes") >= least, F.lit(True)) | (F.col("record_type") == "revisit")
+    firsts = headers.filter(long_enough).groupBy("payload_digest").agg(F.count("*").alias("n"), F.min(F.when(F.col("record_type") == "response", last)).alias("first")).filter("n > 1 AND first IS NOT NULL")
     firsts = stored(firsts, "originals")
     total = firsts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     often = F.col("n") > F.lit(total * HOT_SHARE)
-    some = headers.filter(F.col("payload_bytes") >= least).select("archive", "place", "payload_digest")
+    some = headers.filter(long_enough).select("archive", "place", "payload_digest")
     hot = some.join(F.broadcast(firsts.filter(often)), "payload_digest")  # 1 / HOT_SHARE rows at most
     rest = some.join(firsts.filter(~often), "payload_digest")
     found = hot.unionByName(rest)
@@ -180,9 +190,12 @@ def resolutions(headers: DataFrame, least: int = LEAST) -> DataFrame:
 
 
 def resolve(spark: SparkSession, source: str, target: str, least: int = LEAST, most: int = ARCHIVE) -> None:
-    """The archives under source, written to target with revisits for what repeats an earlier page's payload."""
-    headers = stored(read_archives(spark, source).drop("payload"), "headers")
-    revisits = resolutions(headers.filter("record_type = 'response'"), least)
+    """The archives under source, written to target with revisits for what repeats an earlier page's payload.
+
+    A revisit whose original is in none of the archives is passed on as it is.
+    """
+    headers = stored(read_archives(spark, source).drop("member"), "headers")
+    revisits = resolutions(headers, least)
 
     tag = f"resolved-{uuid.uuid4().hex[:12]}"
 
@@ -190,17 +203,23 @@ def resolve(spark: SparkSession, source: str, target: str, least: int = LEAST, m
         archives, count = _Archives(tag, most), 0
         for batch in batches:
             names, records = [], []
-            for page, url, sha, size, payload, again, to_page, to_url, to_record in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for page, url, kind, sha, size, member, again, to_page, to_url, to_record in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 refers = (to_page, to_url, to_record) if again else None
-                records.append(record("revisit" if again else "response", page, url, payload or b"", sha, size, f"{archives.tag}/{archives.task}/{count}", refers))
+                if kind != "response" and not again:
+                    records.append(member)
+                    names.append(archives.name(len(member)))
+                    continue
+                payload = b"" if again else payload_of(parsed(gzip.decompress(member))[1])
+                records.append(record("revisit" if again else "response", page, url, payload, sha, size or 0, f"{archives.tag}/{archives.task}/{count}", refers))
                 names.append(archives.name(len(records[-1])))
                 count += 1
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(records, pa.binary())], ["archive", "record"])
 
-    full = read_archives(spark, source, payloads=True).filter("record_type = 'response'")
+    # records move as the gzip members that they are, and revisits without
+    full = read_archives(spark, source, with_records=True)
     joined = full.join(revisits.withColumn("again", F.lit(True)), ["archive", "place"], "left")
     again = F.coalesce("again", F.lit(False))
-    rows = joined.select("page_id", "url", "payload_digest", "payload_bytes", F.when(~again, F.col("payload")).alias("payload"), again.alias("again"), "to_page", "to_url", "to_record")
+    rows = joined.select("page_id", "url", "record_type", "payload_digest", "payload_bytes", F.when(~again, F.col("member")).alias("member"), again.alias("again"), "to_page", "to_url", "to_record")
     _write(rows.mapInArrow(run, _RECORD), target)
 
 
