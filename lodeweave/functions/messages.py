@@ -302,7 +302,10 @@ def _rendered_call(c: Column, k: Column, content: Column) -> Column:
 
 
 def rendered(messages: Column, tools: Column | None = None, generation_prompt: bool = False) -> Column:
-    """A dialog in the student's chat format; null where it has no user turn that is a query, or a system turn that is not first."""
+    """A dialog in the student's chat format; null where it has no user turn that is a query, or a system turn that is not first.
+
+    Values of call arguments that are objects or lists are shown as JSON without spaces.
+    """
     tools = F.array().cast("array<string>") if tools is None else F.coalesce(tools, F.array().cast("array<string>"))
     image = F.lit("<|vision_start|><|image_pad|><|vision_end|>")
     content_of = lambda m: T.strip(F.array_join(F.transform(F.coalesce(m["parts"], F.array()), lambda p: F.when(p["type"] == "image", image).otherwise(F.coalesce(p["text"], F.lit("")))), ""))

@@ -168,7 +168,7 @@ def stdin_rows(rows: DataFrame, ctx: Context, most_pairs: int = 20) -> DataFrame
     text = lambda v: F.when(F.schema_of_variant(v) == "STRING", v.cast("string"))
     n = F.least(F.size(io["inputs"]), F.size(io["outputs"]))
     zipped = F.arrays_zip(F.slice(F.transform(io["inputs"], text), 1, n).alias("i"), F.slice(F.transform(io["outputs"], text), 1, n).alias("o"))
-    pairs = F.transform(F.slice(F.filter(zipped, lambda p: p["0"].isNotNull() & p["1"].isNotNull()), 1, most_pairs), lambda p: F.array(p["0"], p["1"]))
+    pairs = F.transform(F.slice(F.filter(zipped, lambda p: p["i"].isNotNull() & p["o"].isNotNull()), 1, most_pairs), lambda p: F.array(p["i"], p["o"]))
     rows = rows.filter(_has("question") & _has("input_output")).withColumn("__pairs", pairs).filter(F.size("__pairs") > 0)
     return canonical(rows, ctx, F.concat(F.lit("apps-"), F.col("problem_id").cast("string")), F.array(M.text_message("user", F.col("question"))), verify_spec=verify("python_io", pairs=F.col("__pairs")))
 

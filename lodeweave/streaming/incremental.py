@@ -63,9 +63,13 @@ def append_ledger(rows: DataFrame, path: str, checkpoint: str) -> DataStreamWrit
 # Extensions: event-time windows. The same expressions serve tables and streams.
 
 
+def _watermarked(events: DataFrame, late: str | None, ts: str) -> DataFrame:
+    """A stream's watermark, which asks for a time with a zone (that of the session)."""
+    return events.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late) if late and events.isStreaming else events
+
+
 def windowed(events: DataFrame, window: Column, late: str | None = None, ts: str = "ts") -> DataFrame:
-    if late and events.isStreaming:
-        events = events.withWatermark(ts, late)
+    events = _watermarked(events, late, ts)
     by = events.groupBy(window.alias("w"), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
     return by.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "event_type", "n", "total")
 
@@ -79,7 +83,6 @@ def sliding(events: DataFrame, size: str = "1 hour", step: str = "30 minutes", l
 
 
 def sessions(events: DataFrame, gap: str = "30 minutes", late: str | None = "1 hour") -> DataFrame:
-    if late and events.isStreaming:
-        events = events.withWatermark("ts", late)
+    events = _watermarked(events, late, "ts")
     by = events.groupBy("user_id", F.session_window("ts", gap).alias("w")).agg(F.count("*").alias("n"))
     return by.select("user_id", F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), "n")
