@@ -143,27 +143,24 @@ def _texts(columns, i: int) -> list[bytes]:
 
 
 def _words(blocks: DataFrame) -> DataFrame:
-    """(word, block, n): each block's words, with their counts in its training texts."""
+    """(word, block, i, n): each block's words, their places in its sorted list of words, and their counts in its training texts."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(len(batch)):
                 count: Counter[bytes] = Counter()
-                others: set[bytes] = set()
+                words = {_END}
                 for text, held in zip(_texts(batch, i), batch["held"][i].as_py(), strict=True):
                     if held:
-                        others.update(_tokens(text))
+                        words.update(_tokens(text))
                     else:
                         count.update(_tokens(text))
                         count[_END] += 1
-                words, n = list(count), list(count.values())
-                more = [x for x in others if x not in count]
-                if _END not in count:
-                    more.append(_END)
-                words, n = words + more, n + [0] * len(more)
-                yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array([batch["block"][i].as_py()] * len(words), pa.int64()), pa.array(n, pa.int64())], ["word", "block", "n"])
+                listed = sorted(words.union(count))
+                n = [count[w] for w in listed]  # a Counter gives 0 for the others
+                yield pa.RecordBatch.from_arrays([pa.array(listed, pa.binary()), pa.array([batch["block"][i].as_py()] * len(n), pa.int64()), pa.array(range(len(n)), pa.int32()), pa.array(n, pa.int64())], ["word", "block", "i", "n"])
 
-    return blocks.select("block", "held", "lens", "text").mapInArrow(run, "word binary, block long, n long")
+    return blocks.select("block", "held", "lens", "text").mapInArrow(run, "word binary, block long, i int, n long")
 
 
 def _piece_counts(counts: DataFrame, path: str) -> np.ndarray:
@@ -205,20 +202,22 @@ def lattice_scores(docs: DataFrame, path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([x / _LOG10 for x in got])], ["word", "c", "score"])
 
     scored = counts.mapInArrow(score_words, "word binary, c long, score double")
-    asked = words.select("word", "block").join(scored, "word")
+    asked = words.select("word", "block", "i").join(scored, "word").select("block", "i", "c", "score")  # words stay where they are
 
     def score_texts(block: pa.Table, answers: pa.Table) -> pa.Table:
         names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
         kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
         if not len(block):
             return pa.table([pa.array([], k) for k in kinds], names=names)
-        place = {w: i for i, w in enumerate(answers["word"].to_pylist())}
+        texts = [_tokens(text) for text in _texts(block, 0)]
+        place = {w: i for i, w in enumerate(sorted({_END}.union(*texts)))}
+        answers = answers.sort_by("i")
         c = answers["c"].to_numpy().astype(np.float64)
         base = np.log10((c + 1) / (n + v + 1))
         score = answers["score"].to_numpy()
         out: list[list] = [[], [], [], []]
-        for text in _texts(block, 0):
-            at = np.fromiter(map(place.__getitem__, [*_tokens(text), _END]), np.int64)
+        for words_of in texts:
+            at = np.fromiter(map(place.__getitem__, [*words_of, _END]), np.int64)
             for column, x in zip(out, (len(at), int((c[at] > 0).sum()), float(base[at].sum()), float(score[at].sum())), strict=True):
                 column.append(x)
         size = len(out[0])
