@@ -246,3 +246,23 @@ def filtered(docs: DataFrame, host: str = HOST, share: float = MOST_SHARE, least
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read_table(spark, sf_dir, "documents")).drop("n_left")
 
+
+
+OP4_SQL = r"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t, row_number() OVER (ORDER BY doc_id, text, source) AS rid FROM documents),
+w AS (SELECT rid, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM d),
+g AS (SELECT rid, p, count(*) OVER (PARTITION BY rid, array_to_string(w[p:p + 4], ' ')) AS n FROM (SELECT rid, w, unnest(range(1, greatest(len(w) - 3, 1))) AS p FROM w)),
+r AS (SELECT rid, count(DISTINCT q) AS n_repeat_words FROM (SELECT rid, unnest(range(p, p + 5)) AS q FROM g WHERE n > 1) GROUP BY rid),
+l AS (SELECT rid, source, l, regexp_extract_all(translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS k FROM (SELECT rid, source, unnest(string_split(t, chr(10))) AS l FROM d)),
+f AS (SELECT rid, source, l, len(k) AS n, array_to_string(k, ' ') AS k FROM l WHERE len(k) > 0),
+h AS (SELECT source, count(*) AS host_docs FROM d GROUP BY source),
+b AS (SELECT c.source, c.k FROM (SELECT source, k, count(DISTINCT rid) AS n FROM f GROUP BY source, k) c JOIN h ON c.source IS NOT DISTINCT FROM h.source WHERE n > 20 AND n > 0.4 * host_docs),
+u AS (SELECT rid, count(*) - count(DISTINCT l) AS n_dup_lines FROM f GROUP BY rid),
+o AS (SELECT f.rid, sum(f.n) AS gone FROM f JOIN b ON f.source IS NOT DISTINCT FROM b.source AND f.k = b.k GROUP BY f.rid),
+a AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+        CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(gone, 0) AS gone
+      FROM d JOIN w USING (rid) LEFT JOIN r USING (rid) LEFT JOIN u USING (rid) LEFT JOIN o USING (rid)),
+v AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM a)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT (gone > 0 AND (n_words - gone < 10 OR n_words - gone < 0.2 * n_words)) AS kept FROM v
+"""

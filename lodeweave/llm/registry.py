@@ -6,10 +6,10 @@ from importlib import import_module
 
 #: name: (module, name of its SQL or None)
 _QUERIES = {
-    "op1_warc_revisits": ("warc", None),
+    "op1_warc_revisits": ("warc", "OP1_SQL"),
     "op2_token_counts": ("tokens", None),
     "op3_suffix_dedup": ("repeats", None),
-    "op4_quality_rules": ("quality", None),
+    "op4_quality_rules": ("quality", "OP4_SQL"),
     "op5_lattice_scores": ("lattice", None),
     "op6_source_mixing": ("mixing", "OP6_SQL"),
     "op7_personal_data": ("pii", None),

@@ -227,4 +227,14 @@ def op1_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw, done = scratch_path(spark, "warc"), scratch_path(spark, "warc")
     write_pages(read_table(spark, sf_dir, "pages"), raw)
     resolve(spark, raw, done)
-    return read_archives(spark, done).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
+    return read_archives(spark, done).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP1_SQL = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+b AS (SELECT page_id, h, array_to_string(list_transform(string_split(sha1(h), ''), lambda c: right(bin(16 + CAST('0x' || c AS INT)), 4)), '') AS bits FROM p),
+f AS (SELECT page_id, strlen(h) AS payload_bytes,
+        array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST('0b' || substr(bits, 5 * i + 1, 5) AS INT), 1)), '') AS payload_digest,
+        row_number() OVER (PARTITION BY h ORDER BY page_id) AS nth, first(page_id) OVER (PARTITION BY h ORDER BY page_id) AS original FROM b)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN nth = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN nth > 1 THEN original END AS refers_to FROM f
+"""
