@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import numbers
 import subprocess
 import sys
 from pathlib import Path
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -46,10 +48,14 @@ def test_trajectory_harvest(spark):
 
 
 def plain(rows, columns):
+    """Rows as sorted texts; numbers alike whatever their types."""
+
     def value(v):
-        return f"{float(v):.6f}" if isinstance(v, float) or type(v).__name__.startswith("float") else str(v)
+        if pd.isna(v):
+            return ""
+        return f"{float(v):.6f}" if isinstance(v, numbers.Number) and not isinstance(v, bool) else str(v)
 
-    return sorted(tuple("" if v is None or v != v else value(v) for v in r) for r in rows[columns].astype(object).itertuples(index=False))
+    return sorted(tuple(map(value, r)) for r in rows[columns].astype(object).itertuples(index=False))
 
 
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
