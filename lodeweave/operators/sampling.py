@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lodeweave import schema as S
 from lodeweave.functions import text as T
+from lodeweave.operators import windows as N
 from lodeweave.sources.storage import stored
 
 
@@ -30,14 +31,13 @@ def allocate(sources: DataFrame, target: int, shares: dict[str, float] = S.DOMAI
 
 def take_quota(rows: DataFrame, quotas: DataFrame, by: str = "source") -> DataFrame:
     """The first `quota` rows of each source in the order of _seq."""
-    rank = F.row_number().over(W.partitionBy(by).orderBy("_seq"))
-    return rows.join(quotas.select(by, "quota"), by).withColumn("__rank", rank).filter("__rank <= quota").drop("__rank", "quota")
+    placed = N.running_start(rows, F.lit(1), [by])
+    return N.null_safe_join(placed, quotas.select(by, "quota"), [by]).filter("start < quota").drop("start", "quota")
 
 
 def take_capped(rows: DataFrame, valid: Column, want: int, by: list[str]) -> DataFrame:
     """Rows in the order of _seq while fewer than `want` valid ones came before; rows that are not valid do not count."""
-    before = F.sum(F.when(valid, 1).otherwise(0)).over(W.partitionBy(*by).orderBy("_seq").rowsBetween(W.unboundedPreceding, -1))
-    return rows.withColumn("__before", F.coalesce(before, F.lit(0))).filter(F.col("__before") < want).drop("__before")
+    return N.running_start(rows, F.when(valid, 1).otherwise(0), by).filter(F.col("start") < want).drop("start")
 
 
 def first_per_group(rows: DataFrame, by: list[str], n: int, order: Column | str = "_seq") -> DataFrame:
@@ -45,23 +45,26 @@ def first_per_group(rows: DataFrame, by: list[str], n: int, order: Column | str
 
 
 def with_domain_rank(rows: DataFrame, seed: int, domain: str, row_id: str) -> DataFrame:
-    h = hash_order(row_id, seed=seed)
-    return rows.withColumn("__h", h).withColumn("__rank", F.row_number().over(W.partitionBy(domain).orderBy("__h", row_id)))
+    """rows with __h, their hash, and __rank, their place in their domain by it."""
+    return N.hash_rank(rows.withColumn("__h", hash_order(row_id, seed=seed)), [domain], "__h", row_id)
 
 
 def downsample(rows: DataFrame, target: int, shares: dict[str, float], seed: int = S.SPLIT_SEED, domain: str = "domain", row_id: str = "id") -> DataFrame:
     """About target rows by the shares of the domains present; trimmed if over, filled from what is left if under.
 
-    The domains' want is a small table; each row meets it by its rank, and a global rank over counts, not rows, tells
-    how many of the rest each domain gives.
+    The rows within their domain's want come first, then the others, each in hash order; ranks are made by ranges of the
+    hash, so no task sorts a whole domain.
     """
     present = rows.groupBy(domain).agg(F.count("*").alias("n"))
     weight = share_of(F.col(domain), shares)
     total = F.sum(weight).over(W.partitionBy())
     wants = present.withColumn("want", F.bround(target * weight / F.when(total == 0, 1.0).otherwise(total)).cast("long")).select(domain, "want")
     ranked = with_domain_rank(rows, seed, domain, row_id).join(F.broadcast(wants), domain)  # a row for each domain
-    first = ranked.withColumn("__late", (F.col("__rank") > F.col("want")).cast("int"))
-    return first.orderBy("__late", "__h", row_id).limit(target).drop("__late", "__h", "__rank", "want")
+    parted = ranked.withColumn("__late", F.col("__rank") > F.col("want")).drop("__rank", "want")
+    in_time = parted.filter("NOT __late").agg(F.count("*").alias("n_first"))  # one row
+    placed = N.hash_rank(parted, ["__late"], "__h", row_id).crossJoin(F.broadcast(in_time))
+    place = F.col("__rank") + F.when(F.col("__late"), F.col("n_first")).otherwise(0)
+    return placed.filter(place <= target).drop("__late", "__h", "__rank", "n_first")
 
 
 def stratified_split(rows: DataFrame, val_size: int, seed: int = S.SPLIT_SEED, domain: str = "domain", row_id: str = "id", shas: str | None = None) -> DataFrame:
@@ -130,17 +133,10 @@ def last_windows(windows: DataFrame, n: int = 64) -> DataFrame:
     return windows.crossJoin(F.broadcast(top)).withColumn("held_out", F.col("_seq") >= F.col("least")).drop("least")  # one row
 
 
-def batches(rows: DataFrame, size: int, seed: int = S.SPLIT_SEED, row_id: str = "id", ranges: int = 64) -> DataFrame:
-    """rows with `batch`: consecutive groups of `size` in hash order; the last may be short.
-
-    Ranks come from the counts of hash ranges, so no task sees all rows.
-    """
-    keyed = rows.withColumn("__h", hash_order(row_id, seed=seed)).withColumn("__range", F.conv(F.substring("__h", 1, 4), 16, 10).cast("long") % (1 << 16))
-    keyed = keyed.withColumn("__range", F.floor(F.col("__range") * ranges / (1 << 16)))
-    counts = keyed.groupBy("__range").agg(F.count("*").alias("n"))
-    starts = counts.select("__range", (F.sum("n").over(W.partitionBy().orderBy("__range")) - F.col("n")).alias("start"))
-    nth = F.row_number().over(W.partitionBy("__range").orderBy("__h", row_id)) - 1 + F.col("start")
-    return keyed.join(F.broadcast(starts), "__range").withColumn("batch", F.floor(nth / size).cast("long")).drop("__h", "__range", "start")  # a row for each range
+def batches(rows: DataFrame, size: int, seed: int = S.SPLIT_SEED, row_id: str = "id") -> DataFrame:
+    """rows with `batch`: consecutive groups of `size` in hash order; the last may be short."""
+    ranked = N.hash_rank(rows.withColumn("__h", hash_order(row_id, seed=seed)), [], "__h", row_id)
+    return ranked.withColumn("batch", F.floor((F.col("__rank") - 1) / size).cast("long")).drop("__h", "__rank")
 
 
 def candidates_for(accepted: int, rate: float) -> int:

@@ -13,14 +13,14 @@ MIN_CHARS, MAX_CHARS = 8000, 16000
 
 
 def row_index(rows: DataFrame, by: list[str], start: int = 1) -> DataFrame:
-    return rows.withColumn("row", F.row_number().over(W.partitionBy(*by).orderBy("_seq")) - 1 + start)
+    return running_start(rows, F.lit(1), by).withColumn("row", F.col("start") + start).drop("start")
 
 
 def running_start(rows: DataFrame, size: Column, by: list[str] | None = None, order: str = "_seq", width: int = 4096) -> DataFrame:
-    """rows with `start`: the sum of `size` over the rows before, by order.
+    """rows with `start`: the sum of `size` over the rows before, by order, within each group of `by` (null is one).
 
-    The order's values (integers) are cut into ranges; a sum for each range, and running sums of these, leave only the
-    rows of one range to a task, so one long series is no single task.
+    The order's values (integers, each once in a group) are cut into ranges; a sum for each range, and running sums of
+    these, leave only the rows of one range to a task, so one long series is no single task.
     """
     by = by or []
     ranged = rows.withColumn("__size", size).withColumn("__range", F.floor(F.col(order) / width))
@@ -28,7 +28,28 @@ def running_start(rows: DataFrame, size: Column, by: list[str] | None = None, or
     first = sums.select(*by, "__range", (F.sum("__sum").over(W.partitionBy(*by).orderBy("__range")) - F.col("__sum")).alias("__first"))
     inner = W.partitionBy(*by, "__range").orderBy(order).rowsBetween(W.unboundedPreceding, 0)
     own = ranged.withColumn("__own", F.sum("__size").over(inner) - F.col("__size"))
-    return own.join(first, [*by, "__range"]).withColumn("start", F.col("__first") + F.col("__own")).drop("__range", "__size", "__first", "__own")
+    return null_safe_join(own, first, [*by, "__range"]).withColumn("start", F.col("__first") + F.col("__own")).drop("__range", "__size", "__first", "__own")
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """An inner join on keys in which null equals null; the left side's columns and the right side's others."""
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}"))
+    return left.alias("l").join(right.alias("r"), same).select("l.*", *(F.col(f"r.{c}") for c in right.columns if c not in keys))
+
+
+def hash_rank(rows: DataFrame, by: list[str], h: str, tie: str, ranges: int = 256) -> DataFrame:
+    """rows with `__rank`: their place (from 1) by (h, tie) within each group of `by`; h is a column of hex digits.
+
+    Hashes are uniform, so equal ranges of their first digits hold about as many rows each; a count for each range gives
+    its rows' offset, and only the rows of one range are sorted together.
+    """
+    ranged = rows.withColumn("__range", F.floor(F.conv(F.substring(h, 1, 6), 16, 10).cast("long") * ranges / (1 << 24)))
+    counts = ranged.groupBy(*by, "__range").agg(F.count("*").alias("__n"))
+    starts = counts.select(*by, "__range", (F.sum("__n").over(W.partitionBy(*by).orderBy("__range")) - F.col("__n")).alias("__start"))
+    nth = F.row_number().over(W.partitionBy(*by, "__range").orderBy(h, tie))
+    return null_safe_join(ranged.withColumn("__nth", nth), starts, [*by, "__range"]).withColumn("__rank", F.col("__start") + F.col("__nth")).drop("__range", "__start", "__nth")
 
 
 def token_windows(rows: DataFrame, tokens: str, length: int, order: str = "_seq") -> DataFrame:
