@@ -48,7 +48,9 @@ def statistics(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     np.maximum.at(longest, row, sizes)
     spread = np.bincount(row, (sizes - (np.bincount(row, sizes, n) / words)[row]) ** 2, n) / words
     hashes = SpanHash(lowered(buf)).of(lines.starts, lines.ends)
-    distinct = np.unique(np.stack([row.astype(np.uint64), mix(hashes)]), axis=1)[0].astype(np.int64) if len(row) else row
+    # one hash for row and word: a sort of single numbers, where equal ones count once
+    _, at = np.unique(mix(hashes + np.uint64(0x9E3779B97F4A7C15) * row.astype(np.uint64)), return_index=True)
+    distinct = row[at]
     first = buf[lines.starts] if len(row) else np.zeros(0, np.uint8)
     upper = ((first >= 65) & (first <= 90)).astype(np.float64)
     columns = [np.log1p(n_bytes), np.log1p(base["n_words"]), base["word_chars"] / words, longest, np.sqrt(spread), base["n_symbols"] / words, count / words, base["n_dup_lines"] / some, base["n_repeat_words"] / words, np.bincount(distinct, minlength=n) / words, np.bincount(row, upper, n) / words, sums_by(code_points(buf), offsets) / np.maximum(n_bytes, 1)]
