@@ -35,7 +35,7 @@ from lodeweave.llm.common import read_table, scratch_path, small_batches, stored
 ARCHIVE = 32 << 20
 LEAST = 0
 HOT_SHARE = 1 / 512
-LEVEL = 4
+LEVEL = 6
 _END = gzip.compress(b"", mtime=0)
 _NAMES = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 _DATE = "2024-01-01T00:00:00Z"
