@@ -156,8 +156,8 @@ def deduplicated(docs: DataFrame, size: int = WORDS, radius: int = RADIUS) -> Da
     """The documents with the smallest id of each component, one row for each; columns as they were."""
     keep = stored(near_duplicates(docs, size, radius).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").count(), "keep")
     # one plan for all sizes: both sides are dealt by id, and only ids are hashed, so texts are neither sorted nor held
-    ids = keep.select(F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("keep_id")).hint("shuffle_hash")
-    left = docs.alias("d").join(ids, F.col("d.doc_id").eqNullSafe(F.col("keep_id")), "left_semi")
+    ids = keep.select(F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("__lw_keep")).hint("shuffle_hash")
+    left = docs.alias("d").join(ids, F.col("d.doc_id").eqNullSafe(F.col("__lw_keep")), "left_semi")
     if keep.filter("count > 1").limit(1).count():  # ids that repeat
         left = left.dropDuplicates(["doc_id"])
     return left.select(docs.columns)
