@@ -20,7 +20,7 @@ from lodeweave.llm.common import WORD_PATTERN, as_text, read_table, stored
 
 MOST_REPEATS = 3
 SEED = 17
-RANGE_ROWS = 50_000
+RANGE_ROWS = 4096
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
