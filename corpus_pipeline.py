@@ -14,8 +14,8 @@ from lodeweave.llm.common import read_table, stored
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that fail the rules go; lines above the limits go from the others."""
-    return quality.filtered(docs)
+    """Documents that fail the rules go; lines that too many distinct texts of a source share go from the others."""
+    return quality.filtered(docs, share=quality.TEXTS_SHARE, least=quality.TEXTS_DOCS, distinct=True)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,6 +9,8 @@ Limits: a line goes if more than MOST_SHARE of its host's documents carry it, MO
 above a third on purpose: one group of copies may hold a third of a host, and its lines are for deduplication to
 judge. A host has at most (its mean number of lines in a document) / MOST_SHARE such lines however large it is,
 so the set is small and is sent to all tasks; its size is checked, and a set beyond MOST_SENT is joined instead.
+These are the limits of the query's SQL. The pipeline counts distinct texts instead (by hash, once for each host), so
+copies are out of the counts and the limit can be where boilerplate is: TEXTS_SHARE of the host's distinct texts.
 
 Cases: a null text has no words and fails the base rules; a null host is a host of its own; rows that repeat an id
 are separate documents; long texts are never cut; an empty table gives an empty result; other columns are ignored
@@ -29,6 +31,7 @@ from lodeweave.llm.common import SpanHash, code_points, covered, flat_bytes, low
 
 HOST = "source"
 MOST_SHARE, MOST_DOCS = 0.4, 20
+TEXTS_SHARE, TEXTS_DOCS = 0.05, 20
 LEAST_WORDS, LEAST_LEFT = 10, 0.2
 MOST_REPEATED = 20
 MOST_SENT = 500_000
@@ -96,8 +99,11 @@ def _seen_before(row: np.ndarray, key: np.ndarray) -> np.ndarray:
     return again
 
 
-def line_counts(docs: DataFrame, host: str = HOST) -> DataFrame:
-    """host, line, n_docs: how many documents of a host carry a line."""
+def line_counts(docs: DataFrame, host: str = HOST, distinct: bool = False) -> DataFrame:
+    """host, line, n_docs: how many documents of a host carry a line.
+
+    distinct: how many distinct texts do; the row with a null line counts all distinct texts of the host.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -115,13 +121,34 @@ def line_counts(docs: DataFrame, host: str = HOST) -> DataFrame:
                 heads = np.flatnonzero(np.append(True, (pair[:, 1:] != pair[:, :-1]).any(axis=0)))
                 yield pa.RecordBatch.from_arrays([coded.dictionary.take(pa.array(pair[0, heads])), pa.array(pair[1, heads]), pa.array(np.diff(np.append(heads, pair.shape[1])))], ["host", "line", "n"])
 
+    def run_distinct(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            coded = pc.dictionary_encode(batch.column(0), null_encoding="encode")
+            code = coded.indices.to_numpy(zero_copy_only=False)
+            for at, to, buf, offsets in pieces_of(*flat_bytes(batch.column(1))):
+                text, mine = SpanHash(buf).of(offsets[:-1], offsets[1:]).view(np.int64), code[at:to]
+                first, lines = ~_seen_before(mine, text), Lines(buf, offsets)
+                key = lines.keys() if len(lines.row) else np.zeros(0, np.int64)
+                new = first[lines.row] & ~_seen_before(lines.row, key)
+                rows = np.concatenate([np.flatnonzero(first), lines.row[new]])
+                line = pa.concat_arrays([pa.nulls(int(first.sum()), pa.int64()), pa.array(key[new])])
+                yield pa.RecordBatch.from_arrays([coded.dictionary.take(pa.array(mine[rows])), line, pa.array(text[rows])], ["host", "line", "text"])
+
     small_batches(docs.sparkSession)
-    found = docs.select(F.col(host).cast("string").alias("host"), F.col("text").cast("string").alias("text")).mapInArrow(run, "host string, line long, n long")
+    texts = docs.select(F.col(host).cast("string").alias("host"), F.col("text").cast("string").alias("text"))
+    if distinct:  # dealt by line and text first, so a line of every text is no hot key
+        return texts.mapInArrow(run_distinct, "host string, line long, text long").distinct().groupBy("host", "line").agg(F.count("*").alias("n_docs"))
+    found = texts.mapInArrow(run, "host string, line long, n long")
     return found.groupBy("host", "line").agg(F.sum("n").alias("n_docs"))
 
 
-def boilerplate(docs: DataFrame, host: str = HOST, share: float = MOST_SHARE, least: int = MOST_DOCS) -> DataFrame:
-    """host, line: the lines above the limits."""
+def boilerplate(docs: DataFrame, host: str = HOST, share: float = MOST_SHARE, least: int = MOST_DOCS, distinct: bool = False) -> DataFrame:
+    """host, line: the lines above the limits; distinct: of the host's distinct texts."""
+    if distinct:
+        counts = stored(line_counts(docs, host, True).filter(F.col("n_docs") > least), "counts")
+        sizes = counts.filter("line IS NULL").select("host", F.col("n_docs").alias("host_docs"))
+        counts = counts.filter("line IS NOT NULL")
+        return counts.alias("c").join(sizes.alias("s"), F.col("c.host").eqNullSafe(F.col("s.host"))).filter(F.col("n_docs") > share * F.col("host_docs")).select("c.host", "line")
     sizes = docs.groupBy(F.col(host).cast("string").alias("host")).agg(F.count("*").alias("host_docs"))
     counts = line_counts(docs, host).filter(F.col("n_docs") > least)
     return counts.alias("c").join(sizes.alias("s"), F.col("c.host").eqNullSafe(F.col("s.host"))).filter(F.col("n_docs") > share * F.col("host_docs")).select("c.host", "line")
@@ -208,13 +235,13 @@ def quality_rules(docs: DataFrame, host: str = HOST, share: float = MOST_SHARE,
     return sums.select("doc_id", *_BASE_COLUMNS, left.alias("n_left"), "base_failed", (~F.col("base_failed") & ~depleted).alias("kept"))
 
 
-def filtered(docs: DataFrame, host: str = HOST, share: float = MOST_SHARE, least: int = MOST_DOCS) -> DataFrame:
+def filtered(docs: DataFrame, host: str = HOST, share: float = MOST_SHARE, least: int = MOST_DOCS, distinct: bool = False) -> DataFrame:
     """The documents that are kept, without the lines that go; columns as they were, n_chars (if there) made anew.
 
     The set of lines is sent to all tasks whatever the host count, as texts cannot be joined line by line; it has
     at most (mean lines in a document) / share lines for each host.
     """
-    bad = _sent(stored(boilerplate(docs, host, share, least), "lines"), 20 * MOST_SENT)
+    bad = _sent(stored(boilerplate(docs, host, share, least, distinct), "lines"), 20 * MOST_SENT)
     if bad is None:
         raise ValueError("more lines above the limits than can be sent to all tasks: raise the share, or split the hosts")
     text_at = docs.columns.index("text")
