@@ -11,9 +11,10 @@ The comparison still grows with the square of the distinct fingerprints, times t
 (about 0.37, 0.1 and 0.01 for 2, 4 and 8 parts).
 
 Cases: a null or empty text has the fingerprint zero, as have all texts without words, which link like any other;
-texts shorter than a shingle are one shingle; rows that repeat an id are handled each and are one component;
-a null id is kept and is never the component's id unless all are null; other columns are ignored by `near_duplicates`
-and kept by `deduplicated`; an empty table gives an empty result.
+texts shorter than a shingle are one shingle; rows that repeat an id are handled each, by their texts; a null id is
+never the component's id unless all are null; `deduplicated` keeps exactly one row of each component, that with the
+least id (a null id last), then text hash, whatever ids other components have; other columns are ignored by
+`near_duplicates` and kept by `deduplicated`; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ from lodeweave.llm.components import components
 
 WORDS, RADIUS, SEED = 4, 4, 42
 TILE = 4096
+_TEXT_KEY = ["__lw_text1", "__lw_text2"]
 #: Distinct fingerprints from which population counts are taken over 4 and over 8 parts.
 MORE_PARTS = ((2_000_000, 4), (500_000_000, 8))
 
@@ -56,16 +58,23 @@ def fingerprint(text: str | None, size: int = WORDS) -> int:
     return int.from_bytes(np.packbits(2 * total > n).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, size: int = WORDS) -> DataFrame:
-    """doc_id, fp (64 bits as a signed number) of each row."""
+def fingerprints(docs: DataFrame, size: int = WORDS, keyed: bool = False) -> DataFrame:
+    """doc_id, fp (64 bits as a signed number) of each row; keyed: and the text's hashes."""
+    more = _TEXT_KEY if keyed else []
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp = np.array([fingerprint(x, size) for x in batch.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64)), *batch.columns[2:]], ["doc_id", "fp", *more])
 
     small_batches(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *(_text_key() if keyed else [])).mapInArrow(run, ", ".join(f"{c} long" for c in ["doc_id", "fp", *more]))
+
+
+def _text_key() -> list:
+    """Two hashes of the text, 128 bits together."""
+    text = F.col("text").cast("string")
+    return [F.xxhash64(text).alias(_TEXT_KEY[0]), F.xxhash64(F.lit(1), text).alias(_TEXT_KEY[1])]
 
 
 def _counts(parts: int) -> list:
@@ -141,25 +150,37 @@ def links(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE, parts: in
     return full.mapInArrow(run, "a long, b long")
 
 
+def _rooted(distinct: DataFrame, radius: int) -> DataFrame:
+    """fp, first, root for distinct fingerprints (fp, first)."""
+    roots = components(links(distinct.select("fp"), radius))
+    return distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, size: int = WORDS, radius: int = RADIUS) -> DataFrame:
     """doc_id, fp, component_id (the smallest doc_id that can be reached) of each row."""
     each = stored(fingerprints(docs, size), "fingerprints")
     distinct = stored(each.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
-    roots = components(links(distinct.select("fp"), radius))
-    rooted = distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    rooted = _rooted(distinct, radius)
     ids = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     # one fingerprint may be that of a third of all rows: the adaptive plan splits it in this join
     return each.join(rooted.join(ids, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
 def deduplicated(docs: DataFrame, size: int = WORDS, radius: int = RADIUS) -> DataFrame:
-    """The documents with the smallest id of each component, one row for each; columns as they were."""
-    keep = stored(near_duplicates(docs, size, radius).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").count(), "keep")
-    # one plan for all sizes: both sides are dealt by id, and only ids are hashed, so texts are neither sorted nor held
-    ids = keep.select(F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("__lw_keep")).hint("shuffle_hash")
-    left = docs.alias("d").join(ids, F.col("d.doc_id").eqNullSafe(F.col("__lw_keep")), "left_semi")
-    if keep.filter("count > 1").limit(1).count():  # ids that repeat
-        left = left.dropDuplicates(["doc_id"])
+    """Exactly one row of each component, that with the smallest id (null last), then text hash; columns as they were."""
+    keys = fingerprints(docs, size, True).groupBy("fp", "doc_id", *_TEXT_KEY).agg(F.count("*").alias("n"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *_TEXT_KEY, "n")).alias("first")
+    distinct = stored(keys.groupBy("fp").agg(first), "distinct")
+    keep = stored(_rooted(distinct, radius).groupBy("root").agg(F.min("first").alias("first")).select("first.*"), "keep")
+    # one plan for all sizes: both sides are dealt by key, and only keys are hashed, so texts are neither sorted nor held
+    kept = keep.select(F.col("doc_id").alias("__lw_keep"), *(F.col(c).alias(f"{c}k") for c in _TEXT_KEY)).hint("shuffle_hash")
+    left = docs.select("*", F.col("doc_id").cast("long").alias("__lw_id"), *_text_key())
+    same = F.col("__lw_id").eqNullSafe(F.col("__lw_keep"))
+    for c in _TEXT_KEY:
+        same &= F.col(c) == F.col(f"{c}k")
+    left = left.join(kept, same, "left_semi")
+    if keep.filter("n > 1").limit(1).count():  # rows that repeat both id and text
+        left = left.dropDuplicates(["__lw_id", *_TEXT_KEY])
     return left.select(docs.columns)
 
 

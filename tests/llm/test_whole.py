@@ -6,6 +6,7 @@ import random
 
 import pytest
 
+from lodeweave.llm import simhash
 from tests.llm.test_tables import frame
 
 
@@ -21,3 +22,13 @@ def test_pipeline_cuts_boilerplate_but_not_copies(spark):
     assert set(got) == {i for i, *_ in docs} - {900, 902}  # 900 is depleted, 902 has no words
     assert all(got[i] == copy for i in range(100)) and got[901] == docs[-2][1]
     assert not [i for i in range(100, 300) if footer.title() in got[i]] and got[100].strip() == docs[100][1].split("\n")[0]
+
+
+def test_one_row_of_each_component_whatever_the_ids(spark):
+    r = random.Random(13)
+    a, b, c, d, e = (" ".join(f"w{r.randrange(10**9)}" for _ in range(30)) for _ in range(5))
+    docs = [(1, a), (1, b), (None, c), (None, d), (None, None), (2, c.upper()), (3, a), (1, a), (4, e), (5, e), (5, d)]
+    got = sorted((str(x.doc_id), x.text) for x in simhash.deduplicated(frame(spark, docs, "doc_id int, text string")).collect())
+    assert got == sorted([("1", a), ("1", b), ("2", c.upper()), ("5", d), ("None", None), ("4", e)], key=lambda x: (x[0], str(x[1])))
+    apart = [(None, a), (None, b), (None, c), (None, b)]
+    assert sorted(x.text for x in simhash.deduplicated(frame(spark, apart, "doc_id long, text string")).collect()) == sorted([a, b, c])
