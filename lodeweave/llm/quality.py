@@ -235,39 +235,71 @@ def quality_rules(docs: DataFrame, host: str = HOST, share: float = MOST_SHARE,
     return sums.select("doc_id", *_BASE_COLUMNS, left.alias("n_left"), "base_failed", (~F.col("base_failed") & ~depleted).alias("kept"))
 
 
-def filtered(docs: DataFrame, host: str = HOST, share: float = MOST_SHARE, least: int = MOST_DOCS, distinct: bool = False) -> DataFrame:
+def _cut(rows: pa.RecordBatch, found: Lines, base: dict[str, np.ndarray], gone: np.ndarray) -> pa.RecordBatch:
+    """The rows that are kept, without the lines that go."""
+    lost = np.bincount(found.row[gone], (found.word_to - found.word_from)[gone], len(rows)).astype(np.int64)
+    keep = ~_fails(base) & ~_depleted(base["n_words"], lost)
+    columns, names = list(rows.columns), rows.schema.names
+    if gone.any():
+        text_at = names.index("text")
+        texts, cuts = rows.column(text_at).to_pylist(), {}
+        for row, start, end in zip(found.row[gone].tolist(), found.line_starts[gone].tolist(), found.line_ends[gone].tolist(), strict=True):
+            cuts.setdefault(row, []).append((start - int(found.offsets[row]), end - int(found.offsets[row])))
+        for row, spans in cuts.items():
+            raw, at, out = texts[row].encode(), 0, []
+            for start, end in spans:
+                out.append(raw[at:start])
+                at = min(end + 1, len(raw))
+            texts[row] = b"".join([*out, raw[at:]]).decode()
+        columns[text_at] = pa.array(texts, rows.column(text_at).type)
+        if "n_chars" in names:
+            chars_at = names.index("n_chars")
+            old = columns[chars_at].to_pylist()
+            columns[chars_at] = pa.array([len(texts[i]) if i in cuts else x for i, x in enumerate(old)], columns[chars_at].type)
+    return pa.RecordBatch.from_arrays(columns, names).filter(pa.array(keep))
+
+
+def filtered(docs: DataFrame, host: str = HOST, share: float = MOST_SHARE, least: int = MOST_DOCS, distinct: bool = False, most_sent: int = MOST_SENT) -> DataFrame:
     """The documents that are kept, without the lines that go; columns as they were, n_chars (if there) made anew.
 
-    The set of lines is sent to all tasks whatever the host count, as texts cannot be joined line by line; it has
-    at most (mean lines in a document) / share lines for each host.
+    A set of lines too large to send is joined with the lines of numbered rows; each row then has its own lines that go.
     """
-    bad = _sent(stored(boilerplate(docs, host, share, least, distinct), "lines"), 20 * MOST_SENT)
-    if bad is None:
-        raise ValueError("more lines above the limits than can be sent to all tasks: raise the share, or split the hosts")
-    text_at = docs.columns.index("text")
-    chars_at = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
+    lines = stored(boilerplate(docs, host, share, least, distinct), "lines")
+    bad = _sent(lines, most_sent)
+    if bad is not None:
+        return judged(docs, bad, _cut, docs.schema, host)
 
-    def make(rows, found, base, gone):
-        lost = np.bincount(found.row[gone], (found.word_to - found.word_from)[gone], len(rows)).astype(np.int64)
-        keep = ~_fails(base) & ~_depleted(base["n_words"], lost)
-        columns = list(rows.columns)
-        if gone.any():
-            texts, cuts = rows.column(text_at).to_pylist(), {}
-            for row, start, end in zip(found.row[gone].tolist(), found.line_starts[gone].tolist(), found.line_ends[gone].tolist(), strict=True):
-                cuts.setdefault(row, []).append((start - int(found.offsets[row]), end - int(found.offsets[row])))
-            for row, spans in cuts.items():
-                raw, at, out = texts[row].encode(), 0, []
-                for start, end in spans:
-                    out.append(raw[at:start])
-                    at = min(end + 1, len(raw))
-                texts[row] = b"".join([*out, raw[at:]]).decode()
-            columns[text_at] = pa.array(texts, rows.column(text_at).type)
-            if chars_at is not None:
-                old = columns[chars_at].to_pylist()
-                columns[chars_at] = pa.array([len(texts[i]) if i in cuts else x for i, x in enumerate(old)], columns[chars_at].type)
-        return pa.RecordBatch.from_arrays(columns, rows.schema.names).filter(pa.array(keep))
-
-    return judged(docs, bad, make, docs.schema, host)
+    # the numbers must be the same in both reads, so the rows are stored with them
+    numbered = stored(docs.withColumn("__lw_row", F.monotonically_increasing_id()), "numbered")
+
+    def lines_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, to, buf, offsets in pieces_of(*flat_bytes(batch.column(2))):
+                found = Lines(buf, offsets)
+                if len(found.row):
+                    places = pa.array(found.row + at)
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(places), batch.column(1).take(places), pa.array(found.keys())], ["row", "host", "line"])
+
+    small_batches(docs.sparkSession)
+    apart = numbered.select("__lw_row", F.col(host).cast("string"), F.col("text").cast("string")).mapInArrow(lines_of, "row long, host string, line long")
+    # distinct on the side of the rows: no list is longer than the lines of its text
+    hits = apart.distinct().alias("a").join(lines.alias("b"), F.col("a.host").eqNullSafe(F.col("b.host")) & (F.col("a.line") == F.col("b.line")))
+    going = hits.groupBy(F.col("a.row").alias("__lw_of")).agg(F.collect_list("a.line").alias("__lw_gone"))
+    each = numbered.join(going, F.col("__lw_row") == F.col("__lw_of"), "left").select(*docs.columns, "__lw_gone")
+    columns, text_at = docs.columns, docs.columns.index("text")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, to, buf, offsets in pieces_of(*flat_bytes(batch.column(text_at))):
+                rows, found = batch.slice(at, to - at), Lines(buf, offsets)
+                gone, listed = np.zeros(len(found.row), bool), rows.column(len(columns))
+                if len(gone) and listed.null_count < len(listed):
+                    key, ends = found.keys(), np.searchsorted(found.row, np.arange(len(rows) + 1))
+                    for i in np.flatnonzero(listed.is_valid().to_numpy(zero_copy_only=False)).tolist():
+                        gone[ends[i] : ends[i + 1]] = np.isin(key[ends[i] : ends[i + 1]], listed[i].values.to_numpy(zero_copy_only=False))
+                yield _cut(rows.select(columns), found, found.base(), gone)
+
+    return each.mapInArrow(run, docs.schema)
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,9 +5,10 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from lodeweave.llm import simhash
-from tests.llm.test_tables import frame
+from lodeweave.llm import quality, simhash
+from tests.llm.test_tables import frame, quality_docs
 
 
 def test_pipeline_cuts_boilerplate_but_not_copies(spark):
@@ -32,3 +33,12 @@ def test_one_row_of_each_component_whatever_the_ids(spark):
     assert got == sorted([("1", a), ("1", b), ("2", c.upper()), ("5", d), ("None", None), ("4", e)], key=lambda x: (x[0], str(x[1])))
     apart = [(None, a), (None, b), (None, c), (None, b)]
     assert sorted(x.text for x in simhash.deduplicated(frame(spark, apart, "doc_id long, text string")).collect()) == sorted([a, b, c])
+
+
+@pytest.mark.parametrize("distinct", [False, True])
+def test_lines_too_many_to_send_are_joined(spark, distinct):
+    docs = quality_docs()
+    length = {i: len(text or "") for i, text, _ in docs}
+    df = frame(spark, docs, "doc_id long, text string, source string").withColumn("n_chars", F.length("text"))
+    sent, joined = (sorted(map(tuple, quality.filtered(df, share=0.1, least=3, distinct=distinct, **more).collect())) for more in ({}, {"most_sent": 0}))
+    assert joined == sent and any(n_chars < length[i] for i, _, _, n_chars in sent)
