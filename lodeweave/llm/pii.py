@@ -175,12 +175,28 @@ def _spelled(text: str, hits: list[tuple[int, int]]) -> Iterator[Span]:
             yield "mail2", first, last
 
 
+#: Characters of an IBAN by country.
+_IBAN_SIZE = {k: int(n) for n, names in (x.split(":") for x in (
+    "15:NO 16:BE 18:DK,FI,FK,FO,GL,NL,SD 19:MK,SI 20:AT,BA,EE,KZ,LT,LU,MN,XK 21:CH,HR,LI,LV 22:BG,BH,CR,DE,GB,GE,IE,ME,RS,VA "
+    "23:AE,GI,IL,IQ,OM,SO,TL 24:AD,CZ,DZ,ES,MD,PK,RO,SA,SE,SK,TN,VG 25:LY,PT,ST 26:IS,TR 27:BI,DJ,FR,GR,IT,MC,MR,SM "
+    "28:AL,AZ,BY,CY,DO,GT,HN,HU,LB,NI,PL,SV 29:BR,EG,PS,QA,UA 30:JO,KW,MU,YE 31:MT,SC 32:LC 33:RU"
+).split()) for k in names.split(",")}
+
+
 def _ibans(text: str, ends: list[int]) -> Iterator[Span]:
+    """The country's length is tried first, then each length from the longest to the shortest that ends a word."""
     for at in ends:
-        if m := re.compile(r"[\s:#]{0,4}(?:number|no\.?|is)?[\s:#]{0,4}([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30})(?![A-Za-z0-9])").match(text, at):
-            code = m[1].replace(" ", "")
-            if int("".join(str(int(c, 36)) for c in code[4:] + code[:4])) % 97 == 1:
-                yield "iban", m.start(1), m.end(1)
+        if m := re.compile(r"[\s:#]{0,4}(?:number|no\.?|is)?[\s:#]{0,4}([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30})").match(text, at):
+            code, stops = "", {}
+            for i in range(m.start(1), m.end(1)):
+                if text[i] != " ":
+                    code += text[i]
+                    if len(code) >= 15 and text[i + 1 : i + 2] not in _ALNUM:
+                        stops[len(code)] = i + 1
+            for size in sorted(stops, key=lambda n: (n != _IBAN_SIZE.get(code[:2]), -n)):
+                if int("".join(str(int(c, 36)) for c in code[4:size] + code[:4])) % 97 == 1:
+                    yield "iban", m.start(1), stops[size]
+                    break
 
 
 def _ssns(text: str, ends: list[int]) -> Iterator[Span]:

@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from lodeweave.llm import quality, simhash
+from lodeweave.llm import pii, quality, simhash
 from tests.llm.test_tables import frame, quality_docs
 
 
@@ -42,3 +42,19 @@ def test_lines_too_many_to_send_are_joined(spark, distinct):
     df = frame(spark, docs, "doc_id long, text string, source string").withColumn("n_chars", F.length("text"))
     sent, joined = (sorted(map(tuple, quality.filtered(df, share=0.1, least=3, distinct=distinct, **more).collect())) for more in ({}, {"most_sent": 0}))
     assert joined == sent and any(n_chars < length[i] for i, _, _, n_chars in sent)
+
+
+@pytest.mark.parametrize(
+    ("text", "found"),
+    [
+        ("IBAN: DE89 3704 0044 0532 0130 00 BIC COBADEFFXXX", "DE89 3704 0044 0532 0130 00"),
+        ("IBAN DE89370400440532013000 EUR 500", "DE89370400440532013000"),
+        ("iban no. GB82 WEST 1234 5698 7654 32", "GB82 WEST 1234 5698 7654 32"),
+        ("IBAN NO9386011117947 KID 12345678901234567890", "NO9386011117947"),
+        ("IBAN DE89370400440532013001 EUR 500", None),
+        ("IBAN DE89370400440532013000x", None),
+    ],
+)
+def test_ibans_before_other_capitals(text, found):
+    assert [text[a:b] for kind, a, b in pii.spans_of(text)[1] if kind == "iban"] == ([found] if found else [])
+    assert ("[IBAN]" in pii.mask(text)) == bool(found) and not (found and found in pii.mask(text))
