@@ -8,6 +8,8 @@ alone takes part in the near-duplicate graph with the rest settled by it, so cop
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +17,9 @@ from lodeweave.functions import minhash as M
 from lodeweave.functions import text as T
 from lodeweave.sources.storage import stored
 
+#: Rounds after which open edges are counted, and how many of them are settled in order at once.
+ROUNDS, MOST_LEFT = 8, 100_000
+
 
 def signed(rows: DataFrame, text: Column | str = "text", images: Column | None = None, mode: str = "md5") -> DataFrame:
     """rows with dedup_key, dedup_images (the image identity) and dedup_sig."""
@@ -46,15 +51,23 @@ def near_pairs(rows: DataFrame, threshold: float = M.THRESHOLD) -> DataFrame:
     return band_pairs(slim, slim, threshold)
 
 
-def first_wins(nodes: DataFrame, edges: DataFrame, most_rounds: int = 200) -> DataFrame:
-    """(k, kept) for nodes (k) with conflicts edges (a, b), a before b."""
+def first_wins(nodes: DataFrame, edges: DataFrame, most_left: int = MOST_LEFT) -> DataFrame:
+    """(k, kept) for nodes (k) with conflicts edges (a, b), a before b.
+
+    Each round settles the first open row at least; after some rounds, a rest of at most `most_left` edges is settled in order.
+    """
     edges = stored(edges.select("a", "b"), "edges")
     state = stored(nodes.select("k").join(edges.select(F.col("b").alias("k")).distinct(), "k", "left_semi").withColumn("kept", F.lit(None).cast("boolean")), "state")
     free = nodes.select("k").join(edges.select(F.col("b").alias("k")).distinct(), "k", "left_anti").withColumn("kept", F.lit(True))
     done = stored(free, "state")
-    for _ in range(most_rounds):
+    for turn in count(1):
         open_edges = edges.join(state.select(F.col("k").alias("b")), "b", "left_semi")
         seen = open_edges.join(done.select(F.col("k").alias("a"), "kept"), "a", "left")
+        if turn % ROUNDS == 0:
+            left = seen.select("a", "b", "kept").limit(most_left + 1).count()
+            if left <= most_left:
+                return done.unionByName(_in_order(seen, done))
+            done = stored(done, "state")  # or its plan would grow with the rounds
         by = seen.groupBy(F.col("b").alias("k")).agg(F.max(F.coalesce("kept", F.lit(False))).alias("hit"), F.count_if(F.col("kept").isNull()).alias("unknown"))
         step = stored(by.withColumn("kept", F.when(F.col("hit"), F.lit(False)).when(F.col("unknown") == 0, F.lit(True))), "state")
         settled = step.filter("kept IS NOT NULL").select("k", "kept")
@@ -62,7 +75,14 @@ def first_wins(nodes: DataFrame, edges: DataFrame, most_rounds: int = 200) -> Da
         state = step.filter("kept IS NULL").select("k", "kept")
         if state.limit(1).count() == 0:
             return done
-    raise RuntimeError("conflicts have not settled")
+
+
+def _in_order(seen: DataFrame, done: DataFrame) -> DataFrame:
+    """(k, kept) of the open rows b, from their edges (a, b, kept of a or null), row by row."""
+    kept: dict = {}
+    for a, b, known in seen.select("a", "b", "kept").orderBy("b").collect():  # few: see most_left
+        kept[b] = kept.get(b, True) and not (kept[a] if known is None else known)
+    return seen.sparkSession.createDataFrame(list(kept.items()), done.schema)
 
 
 def dedup_reasons(rows: DataFrame, threshold: float = M.THRESHOLD, mode: str = "md5", text: str = "text", images: Column | None = None) -> DataFrame:
