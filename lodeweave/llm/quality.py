@@ -5,12 +5,11 @@ host and line, the documents that carry it; a line above the limits is boilerpla
 most of its words that way is depleted and goes as a whole. The counts are summed in each piece of a batch, then
 map-side, then by key, so a line of every document costs one row for each task.
 
-Limits: a line goes if more than MOST_SHARE of its host's documents carry it, MOST_DOCS at least. The share is
-above a third on purpose: one group of copies may hold a third of a host, and its lines are for deduplication to
-judge. A host has at most (its mean number of lines in a document) / MOST_SHARE such lines however large it is,
-so the set is small and is sent to all tasks; its size is checked, and a set beyond MOST_SENT is joined instead.
-These are the limits of the query's SQL. The pipeline counts distinct texts instead (by hash, once for each host), so
-copies are out of the counts and the limit can be where boilerplate is: TEXTS_SHARE of the host's distinct texts.
+Limits of the query and of the pipeline: a host's distinct texts are counted (by hash), so a group of copies counts
+once, and a line goes if more than TEXTS_SHARE of them carry it, and more than TEXTS_DOCS. Counted by documents instead
+(`distinct=False`), one group of copies may hold a third of a host, so the share is MOST_SHARE there. A host has at most
+(its mean number of lines in a text) / TEXTS_SHARE such lines however large it is, so the set is small and is sent to
+all tasks; its size is checked, and a set beyond MOST_SENT is joined instead.
 
 Cases: a null text has no words and fails the base rules; a null host is a host of its own; rows that repeat an id
 are separate documents; long texts are never cut; an empty table gives an empty result; other columns are ignored
@@ -31,7 +30,7 @@ from lodeweave.llm.common import SpanHash, code_points, covered, flat_bytes, low
 
 HOST = "source"
 MOST_SHARE, MOST_DOCS = 0.4, 20
-TEXTS_SHARE, TEXTS_DOCS = 0.05, 20
+TEXTS_SHARE, TEXTS_DOCS = 0.05, 5
 LEAST_WORDS, LEAST_LEFT = 10, 0.2
 MOST_REPEATED = 20
 MOST_SENT = 500_000
@@ -203,10 +202,10 @@ def judged(docs: DataFrame, bad: dict, make: Callable, schema, host: str = HOST)
     return docs.mapInArrow(run, schema)
 
 
-def quality_rules(docs: DataFrame, host: str = HOST, share: float = MOST_SHARE, least: int = MOST_DOCS, most_sent: int = MOST_SENT) -> DataFrame:
+def quality_rules(docs: DataFrame, host: str = HOST, share: float = MOST_SHARE, least: int = MOST_DOCS, most_sent: int = MOST_SENT, distinct: bool = False) -> DataFrame:
     """doc_id, the base figures, base_failed, n_left (words left after the lines that go) and kept, for each row."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col(host).cast("string").alias(host))
-    lines = stored(boilerplate(docs, host, share, least), "lines")
+    lines = stored(boilerplate(docs, host, share, least, distinct), "lines")
     bad = _sent(lines, most_sent)
     figures = "doc_id long, " + ", ".join(f"{c} long" for c in _BASE_COLUMNS)
 
@@ -303,25 +302,24 @@ def filtered(docs: DataFrame, host: str = HOST, share: float = MOST_SHARE, least
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules(read_table(spark, sf_dir, "documents")).drop("n_left")
-
+    return quality_rules(read_table(spark, sf_dir, "documents"), share=TEXTS_SHARE, least=TEXTS_DOCS, distinct=True)
 
 
 OP4_SQL = r"""
-WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t, row_number() OVER (ORDER BY doc_id, text, source) AS rid FROM documents),
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t, md5(coalesce(text, '')) AS m, row_number() OVER (ORDER BY doc_id, text, source) AS rid FROM documents),
 w AS (SELECT rid, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM d),
 g AS (SELECT rid, p, count(*) OVER (PARTITION BY rid, array_to_string(w[p:p + 4], ' ')) AS n FROM (SELECT rid, w, unnest(range(1, greatest(len(w) - 3, 1))) AS p FROM w)),
 r AS (SELECT rid, count(DISTINCT q) AS n_repeat_words FROM (SELECT rid, unnest(range(p, p + 5)) AS q FROM g WHERE n > 1) GROUP BY rid),
-l AS (SELECT rid, source, l, regexp_extract_all(translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS k FROM (SELECT rid, source, unnest(string_split(t, chr(10))) AS l FROM d)),
-f AS (SELECT rid, source, l, len(k) AS n, array_to_string(k, ' ') AS k FROM l WHERE len(k) > 0),
-h AS (SELECT source, count(*) AS host_docs FROM d GROUP BY source),
-b AS (SELECT c.source, c.k FROM (SELECT source, k, count(DISTINCT rid) AS n FROM f GROUP BY source, k) c JOIN h ON c.source IS NOT DISTINCT FROM h.source WHERE n > 20 AND n > 0.4 * host_docs),
+l AS (SELECT rid, source, m, l, regexp_extract_all(translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS k FROM (SELECT rid, source, m, unnest(string_split(t, chr(10))) AS l FROM d)),
+f AS (SELECT rid, source, m, l, len(k) AS n, array_to_string(k, ' ') AS k FROM l WHERE len(k) > 0),
+h AS (SELECT source, count(DISTINCT m) AS host_texts FROM d GROUP BY source),
+b AS (SELECT c.source, c.k FROM (SELECT source, k, count(DISTINCT m) AS n FROM f GROUP BY source, k) c JOIN h ON c.source IS NOT DISTINCT FROM h.source WHERE n > 5 AND n > CAST(0.05 AS DOUBLE) * host_texts),
 u AS (SELECT rid, count(*) - count(DISTINCT l) AS n_dup_lines FROM f GROUP BY rid),
 o AS (SELECT f.rid, sum(f.n) AS gone FROM f JOIN b ON f.source IS NOT DISTINCT FROM b.source AND f.k = b.k GROUP BY f.rid),
 a AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
         CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(gone, 0) AS gone
       FROM d JOIN w USING (rid) LEFT JOIN r USING (rid) LEFT JOIN u USING (rid) LEFT JOIN o USING (rid)),
 v AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM a)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, CAST(n_words - gone AS BIGINT) AS n_left, base_failed,
        NOT base_failed AND NOT (gone > 0 AND (n_words - gone < 10 OR n_words - gone < 0.2 * n_words)) AS kept FROM v
 """
