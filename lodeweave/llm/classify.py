@@ -1,13 +1,17 @@
 """A quality classifier: histogram gradient-boosted trees over statistics of a document's text.
 
 The statistics come from the text alone, are made in one pass over all whole texts, and are stored (some 30 numbers a
-document). The trees are fitted on the driver on TRAIN_ROWS labelled rows at most, those with the smallest hash of
-their id, of the rows not held out; the bound is the parameter `train_rows`. Scores are made from the stored statistics
-by walking all trees for a batch at a time.
+document). The trees are fitted on the driver on TRAIN_ROWS labelled rows at most, those with the smallest hash, of the
+rows not held out; the bound is the parameter `train_rows`. The rows are counted first, and only those whose hash is
+below the share that gives `train_rows` (and a few standard deviations) leave the executors, so what the driver gets
+does not grow with the input or its partitions. Scores are made from the stored statistics by walking all trees for a
+batch at a time.
 
 Cases: a null text is empty and is scored like any text; a label of null or for no document is not learned from; a
 document that has several labels is learned from with each; a null id counts as the empty text for the choice of rows;
-rows that repeat are scored each; no labels, or labels of one kind, give a constant score; other columns are ignored.
+rows that repeat are scored each, and those alike in id, label and statistics are learned from once; no labels, or
+labels of one kind, give a constant score; long texts are never cut; an empty table gives an empty result; other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -72,13 +76,24 @@ def document_statistics(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, x array<float>")
 
 
-def fitted(rows: DataFrame, labels: DataFrame, label: str = "quality", train_rows: int = TRAIN_ROWS, **how) -> Trees:
-    """Trees for the stored statistics and labels; at most train_rows rows come to the driver."""
+def chosen(rows: DataFrame, labels: DataFrame, label: str = "quality", train_rows: int = TRAIN_ROWS) -> list[tuple[list[float], int]]:
+    """(statistics, label) of the train_rows labelled rows with the smallest hash, in that order; all of them if there are fewer."""
     marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")).filter(F.col("label").isNotNull() & (remainder("doc_id", MODULUS) != HELD_OUT))
-    some = rows.join(marked, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "label", "x").limit(train_rows).select("x", "label").toPandas()
-    width = len(_KINDS) + 13
-    x = np.stack(some["x"].to_numpy()) if len(some) else np.zeros((0, width), np.float32)
-    return fit(x, some["label"].to_numpy(np.float64), **how)
+    known = rows.join(marked.distinct(), "doc_id").withColumn("h", F.xxhash64("doc_id", "label", "x")).dropDuplicates(["h", "doc_id", "label", "x"])
+    known = stored(known.select("h", "doc_id", "label", "x"), "labelled")
+    n = known.count()
+    share = (train_rows + 6 * train_rows**0.5 + 50) / max(n, 1)
+    if share < 1:
+        known = known.filter(F.col("h") < -(1 << 63) + int(share * (1 << 64)))
+    some = sorted(known.collect(), key=lambda r: (r.h, r.doc_id, r.label, r.x))  # about train_rows rows: the hashes are uniform
+    return [(r.x, r.label) for r in some[:train_rows]]
+
+
+def fitted(rows: DataFrame, labels: DataFrame, label: str = "quality", train_rows: int = TRAIN_ROWS, **how) -> Trees:
+    """Trees for the stored statistics and labels; at most train_rows rows are learned from."""
+    some = chosen(rows, labels, label, train_rows)
+    x = np.array([x for x, _ in some], np.float32) if some else np.zeros((0, len(_KINDS) + 13), np.float32)
+    return fit(x, np.array([y for _, y in some], np.float64), **how)
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, label: str = "quality", train_rows: int = TRAIN_ROWS) -> DataFrame:
