@@ -3,6 +3,9 @@
 A provider is a picklable callable: messages (a list of dicts), tools (a list of JSON texts) and a seed in, a dict of `content`
 and `tool_calls` out; an exception is a teacher error. It is called from mapInPandas, one partition per stream of requests,
 and must give the same answer to the same request, as a lost task asks again. `Echo` is one without a model, for tests.
+
+Dialogs are made in rounds: a round asks for the next turn of all open dialogs at once, under a key of the turns before it, so
+recorded turns are joined as recorded answers are, and an interrupted run goes on at each dialog's first missing turn.
 """
 
 from __future__ import annotations
@@ -14,7 +17,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodeweave import schema as S
@@ -107,34 +110,51 @@ def single_key(messages: Column, row_id: Column, rollout: Column) -> Column:
 
 
 _ANSWER = f"key string, completion {COMPLETION}, error string"
+_WIRE = "array<struct<sha256: string, url: string>>"
+
+
+def image_urls(requests: DataFrame, store: DataFrame) -> DataFrame:
+    """(key, urls) of requests with images: the data address of each image that the store (sha256, path, content) has."""
+    asked = requests.select("key", F.explode(F.array_distinct(M.image_shas(F.col("messages")))).alias("sha256"))
+    kind = F.substring_index("path", ".", -1)
+    found = asked.join(store.select("sha256", image_url(F.col("content"), kind).alias("url")), "sha256")
+    return found.groupBy("key").agg(F.collect_list(F.struct("sha256", "url")).alias("urls"))
 
 
-def completed(requests: DataFrame, provider: Provider) -> DataFrame:
-    """(key, completion, error) of requests (key, messages, tools)."""
+def completed(requests: DataFrame, provider: Provider, store: DataFrame | None = None) -> DataFrame:
+    """(key, completion, error) of requests (key, messages, tools). An image that is not in the store is an error of its request."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for key, texts, tools in zip(batch["key"], batch["texts"], batch["tools"], strict=True):
+            for key, texts, tools, urls in zip(batch["key"], batch["texts"], batch["tools"], batch["urls"], strict=True):
                 try:
-                    got = provider([dict(t) for t in texts], None if tools is None else list(tools), int(key[:8], 16))
+                    have = {} if urls is None else {u["sha256"]: u["url"] for u in urls}
+                    wire = [dict(t) | {"images": [have[i] for i in (t["images"] if t["images"] is not None else ())]} for t in texts]
+                    got = provider(wire, None if tools is None else list(tools), int(key[:8], 16))
                     out.append((key, {"content": got.get("content") or "", "tool_calls": got.get("tool_calls") or []}, None))
                 except Exception as e:  # noqa: BLE001  whatever the provider raises is its error
                     out.append((key, None, f"{type(e).__name__}: {e}"))
             yield pd.DataFrame(out, columns=["key", "completion", "error"])
 
-    texts = F.transform("messages", lambda m: F.struct(m["role"].alias("role"), M.message_text(m).alias("text"), m["tool_calls"].alias("tool_calls"), m["tool_call_id"].alias("tool_call_id")))
-    return requests.select("key", texts.alias("texts"), "tools").dropDuplicates(["key"]).mapInPandas(run, _ANSWER)
+    texts = F.transform("messages", lambda m: F.struct(m["role"].alias("role"), M.message_text(m).alias("text"), M.image_shas(F.array(m)).alias("images"), m["tool_calls"].alias("tool_calls"), m["tool_call_id"].alias("tool_call_id")))
+    once = requests.dropDuplicates(["key"])
+    asked = once.select("key", texts.alias("texts"), "tools")
+    if store is None:
+        asked = asked.withColumn("urls", F.lit(None).cast(_WIRE))
+    else:
+        asked = asked.join(image_urls(once, store), "key", "left")
+    return asked.mapInPandas(run, _ANSWER)
 
 
-def with_completions(requests: DataFrame, cache: DataFrame, provider: Provider | None) -> tuple[DataFrame, DataFrame]:
-    """(requests with completion and error, new cache entries). Without a provider missing completions are errors."""
-    have = cache.filter("completion IS NOT NULL").select("key", "completion")
+def with_completions(requests: DataFrame, cache: DataFrame, provider: Provider | None, store: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(requests with completion and error, new cache entries). Without a provider missing completions are errors; store: the images."""
+    have = cache.filter("completion IS NOT NULL").select("key", "completion").dropDuplicates(["key"])
     missing = requests.join(have, "key", "left_anti")
     if provider is None:
         new = missing.select("key", F.lit(None).cast(COMPLETION).alias("completion"), F.lit("not recorded").alias("error")).dropDuplicates(["key"])
     else:
-        new = stored(completed(missing, provider), "completions")
+        new = stored(completed(missing, provider, store), "completions")
     every = have.withColumn("error", F.lit(None).cast("string")).unionByName(new)
     return requests.join(every, "key", "left"), new.filter("error IS NULL").select("key", "completion")
 
@@ -158,12 +178,12 @@ def judged(answered: DataFrame, run_code: bool = False) -> DataFrame:
     return rows.withColumn("reason", reason).withColumn("detail", detail).withColumn("accepted", F.col("reason").isNull()).drop("__verdict", "__filter")
 
 
-def run_pool(prompts: DataFrame, cache: DataFrame, provider: Provider | None, limit: int | None = None, run_code: bool = False, rollout: int = 0) -> tuple[DataFrame, DataFrame]:
+def run_pool(prompts: DataFrame, cache: DataFrame, provider: Provider | None, limit: int | None = None, run_code: bool = False, rollout: int = 0, store: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(judged examples, new cache entries) of a pool; limit: None is all, 0 is none."""
     if limit is not None:
         prompts = downsample(prompts, limit, S.DOMAIN_SHARE)
     asked = prompts.withColumn("key", single_key(F.col("messages"), F.col("id"), F.lit(rollout)))
-    answered, new = with_completions(asked, cache, provider)
+    answered, new = with_completions(asked, cache, provider, store)
     return judged(answered, run_code), new
 
 
@@ -186,93 +206,150 @@ def source_counts(judged_rows: DataFrame) -> DataFrame:
     return by.withColumn("pass_rate", F.bround(F.try_divide("accepted", "attempted"), 4))
 
 
-def regenerate(dialogs: DataFrame, provider: Provider, most_user: int = S.MAX_TURNS, most_tool: int = S.MAX_TURNS) -> DataFrame:
-    """Dialogs with every assistant turn written anew; tool results of the source follow the calls they can answer.
+# Dialogs, a turn a round.
 
-    A call without a result in the source drops the dialog, calls beyond the results are cut, a dialog ends before two
-    assistant turns would meet. Each turn depends on the last, so a dialog is walked by one task, a batch at a time.
-    """
-    schema = f"id string, turns array<struct<role: string, text: string, tool_calls: array<{S.CALL}>, tool_call_id: string>>"
-
-    def walk(row_id: str, source: list[dict], tools) -> list[dict] | None:
-        new: list[dict] = []
-        made = at = 0
-        while at < len(source):
-            turn = source[at]
-            if turn["role"] != "assistant":
-                new.append(turn | {"tool_calls": None})
-                at += 1
-                continue
-            results = []
-            while at + 1 + len(results) < len(source) and source[at + 1 + len(results)]["role"] == "tool":
-                results.append(source[at + 1 + len(results)])
-            key = json.dumps([row_id, new], sort_keys=True, default=str)
-            got = provider(new, tools, _seed(key))
-            calls = list(got.get("tool_calls") or [])
-            if calls and not results:
-                return None
-            if not calls and new and new[-1]["role"] == "assistant":
-                break
-            kept = [{"id": f"{row_id}-call-{made + i}", "type": "function", "name": c.get("name") or "", "arguments": c.get("arguments") or "{}"} for i, c in enumerate(calls[: len(results)])]
-            made += len(kept)
-            new.append({"role": "assistant", "text": got.get("content") or "", "tool_calls": kept or None, "tool_call_id": None})
-            new += [{"role": "tool", "text": r["text"], "tool_calls": None, "tool_call_id": c["id"]} for c, r in zip(kept, results, strict=False)]
-            at += 1 + len(results)
-        while new and new[-1]["role"] == "tool":
-            new.pop()
-        return new if new and new[-1]["role"] == "assistant" else None
+_OPEN, _DONE, _DROPPED = "open", "done", "dropped"
+_BRIEF_USER = "Play the person who talks to an assistant with tools. Write that person's first message, and nothing else: a concrete request that one of the tools can meet."
+_BRIEF_TOOL = "Play the service behind a tool. You are shown one call; answer with the small JSON object that such a service would return, and nothing else."
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for row_id, turns, tools in zip(batch["id"], batch["turns"], batch["tools"], strict=True):
-                try:
-                    out.append((row_id, walk(row_id, [dict(t) for t in turns], None if tools is None else list(tools))))
-                except Exception:  # noqa: BLE001  a provider's error drops the dialog
-                    out.append((row_id, None))
-            yield pd.DataFrame(out, columns=["id", "turns"])
 
-    texts = lambda m: F.struct(m["role"].alias("role"), M.message_text(m).alias("text"), m["tool_calls"].alias("tool_calls"), m["tool_call_id"].alias("tool_call_id"))
-    asked = dialogs.filter("NOT coalesce(get_json_object(meta, '$.seed_only') = 'true', false)")
-    new = asked.select("id", F.transform(M.truncated(F.col("messages"), most_user, most_tool), texts).alias("turns"), "tools").mapInPandas(run, schema)
-    rebuilt = F.transform("turns", lambda t: F.struct(t["role"].alias("role"), F.array(M.text_part(t["text"])).alias("parts"), t["tool_calls"].alias("tool_calls"), t["tool_call_id"].alias("tool_call_id"), F.lit(False).alias("scaffold")))
-    full = asked.join(new.filter("turns IS NOT NULL"), "id").withColumn("messages", rebuilt).drop("turns")
+def no_cache(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], f"key string, completion {COMPLETION}")
+
+
+class _Rounds:
+    """Requests under their prefix keys, answered from the cache first; `new` gathers what has to be recorded."""
+
+    def __init__(self, cache: DataFrame, provider: Provider | None, store: DataFrame | None):
+        self.cache, self.provider, self.store = cache, provider, store
+        self.new = cache.filter("false").select("key", "completion")
+
+    def ask(self, rows: DataFrame, role: str, messages: Column, tools: Column) -> DataFrame:
+        """rows (id, ...) with completion and error; the key is of the role in the run, the dialog, and the messages."""
+        kind = F.concat(F.lit(f"{role}:"), F.col("id"))
+        asked = rows.withColumns({"__asked": messages, "__tools": tools})
+        asked = asked.withColumn("key", request_key(F.col("__asked"), kind))
+        answers, new = with_completions(asked.select("key", F.col("__asked").alias("messages"), F.col("__tools").alias("tools")).dropDuplicates(["key"]), self.cache.unionByName(self.new), self.provider, self.store)
+        self.new = self.new.unionByName(new)
+        return asked.join(answers.select("key", "completion", "error"), "key").drop("key", "__asked", "__tools")
+
+
+def _numbered_calls(calls: Column, row_id: Column, made: Column) -> Column:
+    """calls with ids that go on from `made` within the dialog, and what they lack filled in."""
+    return F.transform(calls, lambda c, i: F.struct(
+        F.concat(row_id, F.lit("-call-"), (made + i).cast("string")).alias("id"), F.lit("function").alias("type"),
+        F.coalesce(c["name"], F.lit("")).alias("name"), F.coalesce(c["arguments"], F.lit("{}")).alias("arguments"),
+    ))
+
+
+def _turn(content: Column, calls: Column) -> Column:
+    return M.message("assistant", F.array(M.text_part(F.coalesce(content, F.lit("")))), F.when(F.size(calls) > 0, calls))
+
+
+def _up_to_gap(state: DataFrame) -> DataFrame:
+    """Each open dialog with the source's turns copied up to the next assistant turn at `at` (from 0), or done if there is none."""
+    n = F.size("source")
+    gap = F.array_min(F.filter(F.transform("source", lambda m, i: F.when((m["role"] == "assistant") & (i >= F.col("at")), i)), lambda i: i.isNotNull()))
+    found = state.withColumn("__gap", F.coalesce(gap, n))
+    copied = F.transform(F.slice("source", F.col("at") + 1, F.greatest(F.col("__gap") - F.col("at"), F.lit(0))), lambda m: m.withField("tool_calls", F.lit(None).cast(f"array<{S.CALL}>")))
+    opened = F.col("status") == _OPEN
+    return found.withColumns({
+        "turns": F.when(opened, F.concat("turns", copied)).otherwise(F.col("turns")), "at": F.when(opened, F.col("__gap")).otherwise(F.col("at")),
+        "status": F.when(opened & (F.col("__gap") >= n), _DONE).otherwise(F.col("status")),
+    }).drop("__gap")
+
+
+def _filled(state: DataFrame) -> DataFrame:
+    """state with the answer for the gap at `at` put in, and as many of its calls as the source has results for."""
+    calls, run = F.coalesce("completion.tool_calls", F.array().cast(f"array<{S.CALL}>")), M.tool_run(F.col("source"), F.col("at"))
+    both = state.withColumns({"__run": run, "__calls": calls}).withColumn("__kept", _numbered_calls(F.slice("__calls", 1, F.greatest(F.size("__run"), F.lit(1))), F.col("id"), F.col("made")))
+    asks, last = F.size("__calls") > 0, F.try_element_at("turns", F.lit(-1))
+    lost = F.col("completion").isNull() | (asks & (F.size("__run") == 0))
+    meets = ~asks & F.coalesce(last["role"] == "assistant", F.lit(False))  # two assistant turns would meet
+    told = F.zip_with(F.slice("__kept", 1, F.size("__run")), F.slice("__run", 1, F.greatest(F.size("__kept"), F.lit(1))), lambda c, r: M.message("tool", r["parts"], None, c["id"]))
+    new = F.when(asks, F.concat(F.array(_turn(F.col("completion.content"), F.col("__kept"))), told)).otherwise(F.array(_turn(F.col("completion.content"), F.slice("__kept", 1, 0))))
+    return both.select(
+        "id", "source", "tools", F.when(lost | meets, F.col("turns")).otherwise(F.concat("turns", new)).alias("turns"), (F.col("at") + 1 + F.size("__run")).alias("at"),
+        F.when(asks & ~lost, F.col("made") + F.size("__kept")).otherwise(F.col("made")).alias("made"), F.when(lost, _DROPPED).when(meets, _DONE).otherwise(_OPEN).alias("status"),
+    )
+
+
+def _ending(turns: Column) -> Column:
+    """turns without tool turns at the end; null if an assistant turn is not last then."""
+    other = F.array_max(F.filter(F.transform(turns, lambda m, i: F.when(m["role"] != "tool", i + 1)), lambda i: i.isNotNull()))
+    cut = F.slice(turns, 1, F.coalesce(other, F.lit(0)))
+    return F.when(F.try_element_at(cut, F.lit(-1))["role"] == "assistant", cut)
+
+
+def _with_dialogs(rows: DataFrame, ended: DataFrame, simulated: bool) -> DataFrame:
+    """rows whose dialog has ended well, with its messages, tokens and origin."""
     said = F.array_join(F.transform(M.by_role(F.col("messages"), "assistant"), lambda m: M.message_text(m)), "\n")
-    return full.withColumns({"origin": F.lit("teacher"), "tokens": T.count_tokens(said)})
+    full = rows.drop("messages").join(ended.filter("turns IS NOT NULL").select("id", F.col("turns").alias("messages")), "id")
+    more = {"origin": F.lit("teacher"), "tokens": T.count_tokens(said)}
+    if simulated:
+        more["meta"] = F.lit('{"simulated":true}')
+    return full.withColumns(more)
 
 
-def _seed(key: str) -> int:
-    import hashlib
+def regenerated(dialogs: DataFrame, cache: DataFrame, provider: Provider | None, store: DataFrame | None = None, most_user: int = S.MAX_TURNS, most_tool: int = S.MAX_TURNS) -> tuple[DataFrame, DataFrame]:
+    """(dialogs with every assistant turn written anew, new cache entries).
 
-    return int(hashlib.sha256(key.encode()).hexdigest()[:8], 16)
+    The results of the source follow the calls that they can answer. A call without a result in the source drops the
+    dialog, as an error does; calls beyond the results are cut; a dialog ends before two assistant turns would meet.
+    """
+    asked = dialogs.filter("NOT coalesce(get_json_object(meta, '$.seed_only') = 'true', false)")
+    state = asked.select("id", M.truncated(F.col("messages"), most_user, most_tool).alias("source"), "tools", F.array().cast(f"array<{S.MESSAGE}>").alias("turns"), F.lit(0).alias("at"), F.lit(0).alias("made"), F.lit(_OPEN).alias("status"))
+    rounds, ended = _Rounds(cache, provider, store), None
+    while True:
+        state = stored(_up_to_gap(state), "dialogs")
+        done = state.filter(F.col("status") != _OPEN).select("id", F.when(F.col("status") == _DONE, _ending(F.col("turns"))).alias("turns"))
+        ended = done if ended is None else ended.unionByName(done)
+        state = state.filter(F.col("status") == _OPEN)
+        if not state.limit(1).count():
+            return _with_dialogs(asked.select(dialogs.columns), ended, False).select(dialogs.columns), rounds.new
+        state = _filled(rounds.ask(state, "prebuilt", F.col("turns"), F.col("tools")))
 
 
-def simulate(seeds: DataFrame, provider: Provider, most_turns: int = S.MAX_TURNS) -> DataFrame:
-    """Dialogs made up from a first user turn (id, domain, source, tools, first_user): calls and their results until an answer; none without one."""
-    schema = f"id string, turns array<struct<role: string, text: string, tool_calls: array<{S.CALL}>, tool_call_id: string>>"
-
-    def play(row_id: str, first: str | None, tools) -> list[dict] | None:
-        if not (first or "").strip():
-            return None
-        turns = [{"role": "user", "text": first, "tool_calls": None, "tool_call_id": None}]
-        for _ in range(most_turns):
-            got = provider(turns, tools, _seed(json.dumps([row_id, turns], sort_keys=True)))
-            calls = got.get("tool_calls") or []
-            turns.append({"role": "assistant", "text": got.get("content") or "", "tool_calls": calls or None, "tool_call_id": None})
-            if not calls:
-                return turns
-            for c in calls:
-                told = provider([{"role": "user", "text": json.dumps({"name": c.get("name"), "arguments": c.get("arguments")})}], None, 0)
-                turns.append({"role": "tool", "text": (told.get("content") or "").strip(), "tool_calls": None, "tool_call_id": c.get("id")})
-        return None
+def regenerate(dialogs: DataFrame, provider: Provider, most_user: int = S.MAX_TURNS, most_tool: int = S.MAX_TURNS) -> DataFrame:
+    """The dialogs of `regenerated`, with nothing recorded before."""
+    return regenerated(dialogs, no_cache(dialogs.sparkSession), provider, None, most_user, most_tool)[0]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame([(i, play(i, f, None if t is None else list(t))) for i, f, t in zip(batch["id"], batch["first_user"], batch["tools"], strict=True)], columns=["id", "turns"])
 
-    new = seeds.select("id", "first_user", "tools").mapInPandas(run, schema)
-    rebuilt = F.transform("turns", lambda t: F.struct(t["role"].alias("role"), F.array(M.text_part(t["text"])).alias("parts"), t["tool_calls"].alias("tool_calls"), t["tool_call_id"].alias("tool_call_id"), F.lit(False).alias("scaffold")))
-    return seeds.join(new.filter("turns IS NOT NULL"), "id").withColumn("messages", rebuilt).withColumn("origin", F.lit("teacher")).drop("turns", "first_user")
+def simulated(seeds: DataFrame, cache: DataFrame, provider: Provider | None, most_turns: int = S.MAX_TURNS, limit: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(dialogs made up from seeds (id, domain, source, tools, first_user), new cache entries): calls and their results until an answer.
+
+    A null first turn is asked for; a blank one, given or made, drops the seed, as do errors and dialogs without an answer in
+    most_turns. limit: so many seeds, in proportion to the domains.
+    """
+    if limit is not None:
+        seeds = downsample(seeds, limit, S.DOMAIN_SHARE)
+    rounds, nothing = _Rounds(cache, provider, None), F.lit(None).cast("array<string>")
+    slim = stored(seeds.select("id", "tools", "first_user"), "seeds")
+    brief = F.array(M.text_message("system", F.lit(_BRIEF_USER)), M.text_message("user", F.lit("Write the first message.")))
+    first = rounds.ask(slim.filter("first_user IS NULL").select("id", "tools"), "simuser", brief, nothing).select("id", "tools", T.strip(F.col("completion.content")).alias("first_user"))
+    begun = slim.filter("first_user IS NOT NULL").unionByName(first).filter(~F.coalesce(T.is_blank("first_user"), F.lit(True)))
+    state, ended = stored(begun.select("id", "tools", F.array(M.text_message("user", F.col("first_user"))).alias("turns")), "dialogs"), None
+    for _ in range(most_turns):
+        calls = F.coalesce("completion.tool_calls", F.array().cast(f"array<{S.CALL}>"))
+        told = rounds.ask(state, "simagent", F.col("turns"), F.col("tools")).filter("completion IS NOT NULL").withColumn("calls", calls)
+        told = stored(told.select("id", "tools", F.concat("turns", F.array(_turn(F.col("completion.content"), F.col("calls")))).alias("turns"), "calls"), "dialogs")
+        done = told.filter(F.size("calls") == 0).select("id", "turns")
+        ended = done if ended is None else ended.unionByName(done)
+        waiting = told.filter(F.size("calls") > 0)
+        if not waiting.limit(1).count():
+            break
+        each = waiting.select("id", F.posexplode("calls").alias("i", "call"))
+        shown = F.array(M.text_message("system", F.lit(_BRIEF_TOOL)), M.text_message("user", F.to_json(F.struct("call.name", "call.arguments"))))
+        answers = rounds.ask(each, "simtool", shown, nothing).select("id", F.struct("i", "call", "completion").alias("x"))
+        results = answers.groupBy("id").agg(F.array_sort(F.collect_list("x")).alias("xs")).filter("forall(xs, x -> x.completion IS NOT NULL)")
+        tool_turns = F.transform("xs", lambda x: M.message("tool", F.array(M.text_part(T.strip(x["completion"]["content"]))), None, x["call"]["id"]))
+        state = stored(waiting.join(results, "id").select("id", "tools", F.concat("turns", tool_turns).alias("turns")), "dialogs")
+    return _with_dialogs(seeds.drop("first_user"), ended, True), rounds.new
+
+
+def simulate(seeds: DataFrame, provider: Provider, most_turns: int = S.MAX_TURNS) -> DataFrame:
+    """The dialogs of `simulated`, with nothing recorded before."""
+    return simulated(seeds, no_cache(seeds.sparkSession), provider, most_turns)[0]
 
 
 def tool_seeds(prompts: DataFrame) -> DataFrame:
