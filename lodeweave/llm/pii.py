@@ -9,9 +9,12 @@ fixed patterns, leftmost and non-overlapping for each kind; a match that fails i
   card   [0-9]([\\x20-]?[0-9])+, 13 to 19 digits that pass Luhn
   phone  \\+[0-9][\\x20().0-9-]+[0-9], 9 to 15 digits
 
-The method adds spans of further kinds, each only behind a cue of its own: `user` (the user part of a URL's
+The method adds spans of further kinds, each only behind an anchor of its own: `user` (the user part of a URL's
 authority, or the address of a mailto: or tel: link), `mail2` (an address written with (at) or [at]), `iban` (checked
-modulo 97) and `ssn` (behind the word ssn or "social security"). Added spans never replace base spans.
+modulo 97), `ssn` (behind the word ssn or "social security"), `key` (a credential behind a cue such as token, secret or
+password, or behind a prefix that issuers give; it must mix letters and digits), `account` (6 to 17 digits behind account,
+acct, konto or routing) and `tel` (where a base phone ran on into further numbers and failed, its longest part of whole
+words with 9 to 15 digits). Added spans never replace base spans.
 
 Spans are [start, end) in code points. Cases: a null text is empty; an empty list hashes as the empty text; rows
 that repeat are handled each; texts are never cut; other columns are ignored by `personal_data` and kept by `redacted`.
@@ -31,14 +34,20 @@ from lodeweave.llm.common import read_table, small_batches
 
 Span = tuple[str, int, int]
 BASE_KINDS = ("email", "ip", "card", "phone")
-MORE_KINDS = ("user", "mail2", "iban", "ssn")
+MORE_KINDS = ("user", "mail2", "iban", "ssn", "key", "account", "tel")
 _ORDER = {kind: i for i, kind in enumerate(BASE_KINDS + MORE_KINDS)}
 _SCHEMES = ("://", "mailto:", "tel:")
 _CUES = ("(at)", "[at]", "iban", "ssn", "social security")
+_PASSWORDS = ("password", "passwd", "pwd", "passphrase")
+_SECRETS = ("token", "secret", "api key", "api_key", "api-key", "apikey", "access key", "access_key", "access-key", "accesskey", "private key", "private_key", "bearer", "credential")
+#: Prefixes that issuers give to credentials, and how many more characters follow at least.
+_ISSUED = {"AKIA": 16, "ASIA": 16, "ghp_": 30, "gho_": 30, "github_pat_": 30, "glpat-": 16, "xoxb-": 20, "xoxp-": 20, "sk-": 20, "sk_live_": 16, "AIza": 30}
+_ACCOUNTS = ("account", "acct", "konto", "routing")
 _DIGITS = frozenset("0123456789")
 _ALNUM = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
 _LOCAL, _LABEL = _ALNUM | set("._%+-"), _ALNUM | set("-")
 _PHONE = _DIGITS | set(" ().-")
+_SECRET = _ALNUM | set("_-./+=~")
 _USERINFO = _ALNUM | set("._%+-~!$&'*=:;")
 
 
@@ -205,15 +214,77 @@ def _ssns(text: str, ends: list[int]) -> Iterator[Span]:
             yield "ssn", m.start(1), m.end(1)
 
 
+#: Between a cue and what it tells of: a quote, an equals sign or colon or "is", another quote; or white space alone.
+_ASSIGNS = re.compile(r"""s?["'\])]{0,2}\s{0,3}(?::=|={1,3}>?|:|\bis\b)\s{0,3}["'(\[]?""")
+_SPACE = re.compile(r"""s?["']?\s{1,3}["']?""")
+_QUOTED = re.compile(r"""(?<=["'])[^\s"']{6,128}(?=["'])""")
+_ACCOUNT = re.compile(r"""s?(?:\s{0,2}(?:number|nummer|numbers|no\.?|nr\.?|id))?[\s:#=]{0,4}(?:is\s)?(?P<number>[0-9](?:[ -]?[0-9]){5,16})(?![0-9.,]?[0-9])""", re.I)
+
+
+def _strong(value: str) -> bool:
+    """Letters and digits mixed, and not a few characters over and over."""
+    return any(c in _DIGITS for c in value) and any(c.isalpha() for c in value) and len(set(value)) >= 6
+
+
+def _keys(text: str, cues: list[tuple[int, bool]], issued: list[tuple[int, int, int]]) -> Iterator[Span]:
+    """Credentials behind cues (place behind the cue, is it a password) and prefixes (start, end, least length of the rest)."""
+    for at, password in cues:
+        assigned = _ASSIGNS.match(text, at)
+        sign = assigned or _SPACE.match(text, at)
+        if not sign:
+            continue
+        start = sign.end()
+        if password and assigned and (m := _QUOTED.match(text, start)):
+            yield "key", start, m.end()
+            continue
+        end = _run(text, start, _SECRET)
+        while end > start and text[end - 1] in "./":
+            end -= 1
+        value = text[start:end]
+        if len(value) >= (8 if password and assigned else 16) and _strong(value):
+            yield "key", start, end
+    for start, at, least in issued:
+        if start and text[start - 1] in _ALNUM:
+            continue
+        end = _run(text, at, _ALNUM | set("_-"))
+        if end - at >= least and _strong(text[start:end]):
+            yield "key", start, end
+
+
+def _accounts(text: str, ends: list[int]) -> Iterator[Span]:
+    for at in ends:
+        if m := _ACCOUNT.match(text, at):
+            yield "account", m.start("number"), m.end("number")
+
+
+def _shorter_phones(text: str, pluses: list[int], taken: list[Span]) -> Iterator[Span]:
+    """Where a phone number runs on into further numbers: as many whole words of it as have 9 to 15 digits."""
+    starts = {s for _, s, _ in taken}
+    for at in pluses:
+        if at in starts or text[at + 1 : at + 2] not in _DIGITS or at + 1 >= len(text):
+            continue
+        last, digits, best = _run(text, at + 2, _PHONE), 0, 0
+        for i in range(at + 1, last):
+            digits += text[i] in _DIGITS
+            if digits > 15:
+                break
+            if digits >= 9 and text[i] in _DIGITS and text[i + 1 : i + 2] in ("", " "):
+                best = i + 1
+        if best:
+            yield "tel", at, best
+
+
 def _automaton():
     import ahocorasick
 
     a = ahocorasick.Automaton()
     for word in ("@", "+", *sorted(_DIGITS)):
         a.add_word(word, (word if word in "@+" else "0", 1))
-    for cue in _SCHEMES + _CUES:
+    for cue in _SCHEMES + _CUES + _PASSWORDS + _SECRETS + _ACCOUNTS:
         for form in {cue, cue.upper(), cue.capitalize(), cue.title()}:
             a.add_word(form, (cue, len(form)))
+    for prefix in _ISSUED:
+        a.add_word(prefix, (prefix, len(prefix)))
     a.make_automaton()
     return a
 
@@ -240,6 +311,9 @@ def spans_of(text: str | None) -> tuple[list[Span], list[Span]]:
         *_spelled(text, sorted(hits.get("(at)", []) + hits.get("[at]", []))),
         *_ibans(text, [e for _, e in hits.get("iban", ())]),
         *_ssns(text, sorted(e for cue in ("ssn", "social security") for _, e in hits.get(cue, ()))),
+        *_keys(text, sorted((e, cue in _PASSWORDS) for cue in _PASSWORDS + _SECRETS for _, e in hits.get(cue, ())), sorted((s, e, n) for cue, n in _ISSUED.items() for s, e in hits.get(cue, ()))),
+        *_accounts(text, sorted(e for cue in _ACCOUNTS for _, e in hits.get(cue, ()))),
+        *_shorter_phones(text, at("+"), [x for x in base if x[0] == "phone"]),
     ]
     order = lambda span: (_ORDER[span[0]], span[1], span[2])
     base.sort(key=order)
