@@ -90,7 +90,11 @@ def dedup_reasons(rows: DataFrame, threshold: float = M.THRESHOLD, mode: str = "
 
     A copy of a kept row is a duplicate; a copy of a rejected one is rejected for the same neighbour. rows: _seq and the text.
     """
-    signs = stored(signed(rows.filter(F.col(text).isNotNull()), text, images, mode).select("_seq", "dedup_key", "dedup_images", "dedup_sig"), "signs")
+    return settled(stored(signed(rows.filter(F.col(text).isNotNull()), text, images, mode).select("_seq", "dedup_key", "dedup_images", "dedup_sig"), "signs"), threshold)
+
+
+def settled(signs: DataFrame, threshold: float = M.THRESHOLD) -> DataFrame:
+    """The reasons of `dedup_reasons` for signed rows."""
     heads = signs.groupBy("dedup_key").agg(F.min("_seq").alias("head"))
     first = stored(signs.join(heads, (signs["dedup_key"] == heads["dedup_key"]) & (signs["_seq"] == heads["head"]), "left_semi").select(F.col("_seq").alias("k"), "dedup_images", "dedup_sig"), "heads")
     verdict = first_wins(first, band_pairs(first, first, threshold))
@@ -99,6 +103,27 @@ def dedup_reasons(rows: DataFrame, threshold: float = M.THRESHOLD, mode: str = "
     return every.select("_seq", reason.alias("reason"))
 
 
+def reasons_against(signs: DataFrame, kept: DataFrame, threshold: float = M.THRESHOLD) -> DataFrame:
+    """(_seq, reason) of signed rows that an earlier one of the signed rows `kept` stands against; the others are not in it.
+
+    Rows with one key are compared once, with the earliest kept neighbour of the key.
+    """
+    copies = kept.groupBy("dedup_key").agg(F.min("_seq").alias("copy"))
+    keys = signs.groupBy("dedup_key").agg(F.first("dedup_images").alias("dedup_images"), F.first("dedup_sig").alias("dedup_sig")).withColumnRenamed("dedup_key", "k")
+    pairs = band_pairs(kept.select(F.col("_seq").alias("k"), "dedup_images", "dedup_sig"), keys, threshold, ordered=False)
+    near = pairs.groupBy(F.col("b").alias("dedup_key")).agg(F.min("a").alias("near"))
+    every = signs.select("_seq", "dedup_key").join(copies, "dedup_key", "left").join(near, "dedup_key", "left")
+    reason = F.when(F.col("copy") < F.col("_seq"), "duplicate_prompt").when(F.col("near") < F.col("_seq"), "near_duplicate")
+    return every.select("_seq", reason.alias("reason")).filter("reason IS NOT NULL")
+
+
+def seen_images(rows: DataFrame, kept: DataFrame) -> DataFrame:
+    """(_seq) of rows (_seq, shas) with images, all of which earlier rows of `kept` (_seq, shas) have."""
+    first = kept.select("_seq", F.explode("shas").alias("sha")).groupBy("sha").agg(F.min("_seq").alias("first"))
+    each = rows.select("_seq", F.explode("shas").alias("sha")).join(first, "sha", "left")
+    return each.groupBy("_seq").agg(F.min(F.coalesce(F.col("first") < F.col("_seq"), F.lit(False))).alias("seen")).filter("seen").select("_seq")
+
+
 def image_novelty(rows: DataFrame) -> DataFrame:
     """(_seq, novel) of rows (_seq, shas): a row with images is novel if one of them is in no novel earlier row.
 

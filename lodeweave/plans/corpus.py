@@ -16,16 +16,22 @@ from lodeweave.sources import adapters
 from lodeweave.sources.storage import stored
 
 
+def _first(rows: DataFrame, n: int) -> DataFrame:
+    """The n rows with the smallest _seq: the place of the last one is looked up by numbers alone, so no task sorts rows."""
+    bound = rows.select("_seq").orderBy("_seq").limit(n).agg(F.max("_seq").alias("last"))
+    return rows.join(F.broadcast(bound), F.col("_seq") <= F.col("last")).drop("last")  # one row
+
+
 def scanned(tables: dict[str, DataFrame], catalog: DataFrame, quotas: DataFrame, overshoot: int = 2) -> DataFrame:
     """Canonical rows of all sources up to `overshoot` times their quota, numbered on in the catalog's order.
 
     tables: by "dataset|config"; each has _seq from 1. The catalog is a row for each source.
     """
     out = None
-    limits = {(r["dataset"], r["config"]): r["quota"] for r in quotas.collect()}
+    limits = {(r["dataset"], r["config"]): r["quota"] for r in quotas.collect()}  # a row for each source of the catalog
     for at, s in enumerate(catalog.collect()):
         rows = adapters.adapter(s["adapter"])(tables[f"{s['dataset']}|{s['config'] or ''}"], adapters.Context(s["dataset"], s["config"], s["domain"]))
-        rows = rows.orderBy("_seq").limit(overshoot * limits.get((s["dataset"], s["config"]), 0))
+        rows = _first(rows, overshoot * limits.get((s["dataset"], s["config"]), 0))
         rows = rows.withColumn("_seq", F.col("_seq") + F.lit(at) * F.lit(1 << 40))
         out = rows if out is None else out.unionByName(rows)
     return out
@@ -34,8 +40,9 @@ def scanned(tables: dict[str, DataFrame], catalog: DataFrame, quotas: DataFrame,
 def judged(rows: DataFrame, mode: str = "md5") -> DataFrame:
     """Canonical rows as prompts, with `reason`: why a row is dropped, or null.
 
-    Filters that look at one row alone run before dedup, as a dropped row never stands in another's way; where both find a
-    fault, dedup is named, as it looks first.
+    A row is asked in this order: has it a user turn and a text; has a kept earlier row its text, or nearly; have kept earlier
+    rows all its images; do the filters and the validation pass. Only kept rows stand in another's way, so they are settled
+    among sound rows first, and every row is then held against them.
     """
     rows = rows.withColumn("prompt", M.strip_to_prompt(F.col("messages")))
     text = M.prompt_text(F.col("prompt"))
@@ -46,13 +53,16 @@ def judged(rows: DataFrame, mode: str = "md5") -> DataFrame:
     own = F.when(F.col("no_turn"), "no_user_turn").when(F.col("text") == "", "empty_prompt")
     late = F.coalesce(T.prompt_reject_reason("text", F.col("tokens")), F.when(F.size(M.validate_prompt()) > 0, F.lit("invalid")))
     rows = stored(rows.withColumns({"early": own, "late": late}).drop("no_turn"), "prompts")
-    sound = rows.filter("early IS NULL AND late IS NULL")
-    near = D.dedup_reasons(sound.select("_seq", "text", "shas"), mode=mode, images=F.col("shas"))
-    kept = sound.join(near.filter("reason IS NULL").select("_seq"), "_seq", "left_semi")
-    fresh = D.image_novelty(kept.select("_seq", "shas"))
-    out = rows.join(near.withColumnRenamed("reason", "near"), "_seq", "left").join(fresh, "_seq", "left")
-    reason = F.coalesce("early", "near", "late", F.when(~F.coalesce("novel", F.lit(True)), F.lit("duplicate_images")))
-    return stored(out.withColumn("reason", reason).drop("early", "late", "near", "novel"), "judged")
+    asked = rows.filter("early IS NULL").select("_seq", "text", "shas", F.col("late").isNull().alias("sound"))
+    signs = stored(D.signed(asked, images=F.col("shas"), mode=mode).select("_seq", "shas", "sound", "dedup_key", "dedup_images", "dedup_sig"), "signs")
+    sound = signs.filter("sound")
+    first = sound.join(D.settled(sound).filter("reason IS NULL").select("_seq"), "_seq", "left_semi")
+    stale = D.image_novelty(first.select("_seq", "shas")).filter("NOT novel").select("_seq")
+    kept = stored(first.join(stale, "_seq", "left_anti"), "kept")
+    near = D.reasons_against(signs, kept).withColumnRenamed("reason", "near")
+    seen = D.seen_images(signs, kept).withColumn("seen", F.lit("duplicate_images"))
+    out = rows.join(near, "_seq", "left").join(seen, "_seq", "left")
+    return stored(out.withColumn("reason", F.coalesce("early", "near", "seen", "late")).drop("early", "late", "near", "seen"), "judged")
 
 
 def split(accepted: DataFrame, target_train: int, val_size: int, images: bool = False) -> DataFrame:

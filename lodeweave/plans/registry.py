@@ -23,6 +23,9 @@ from lodeweave.operators import contamination as C
 from lodeweave.operators import dedup as D
 from lodeweave.operators import sampling as P
 from lodeweave.operators import windows as N
+from lodeweave.plans import corpus
+from lodeweave.sources import adapters
+from lodeweave.sources.storage import dealt
 from lodeweave.streaming import incremental as I
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,9 +57,10 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """documents as prompts: id, _seq, domain, tokens."""
+def _docs(spark: SparkSession, sf_dir: str, deal: bool = False) -> DataFrame:
+    """documents as prompts: id, _seq, domain, tokens; deal: to all cores, where Python is to work on them."""
     d = _t(spark, sf_dir, "documents")
+    d = dealt(d) if deal else d
     return d.select("doc_id", F.col("doc_id").alias("_seq"), F.col("doc_id").cast("string").alias("id"), "text", F.col("lang").alias("domain"), "source", T.count_tokens("text").alias("tokens"))
 
 
@@ -194,7 +198,7 @@ def contam_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def contam_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact and near hits of whole texts, in the published scheme's hashes."""
-    return C.collisions(_docs(spark, sf_dir), _t(spark, sf_dir, "benchmark"), mode="blake2b", row_id="doc_id")
+    return C.collisions(_docs(spark, sf_dir, True), _t(spark, sf_dir, "benchmark"), mode="blake2b", row_id="doc_id")
 
 
 @query(f"WITH d AS (SELECT doc_id, {_NORM} AS t FROM documents), b AS (SELECT item_id, {_NORM} AS t FROM benchmark) SELECT doc_id, item_id FROM d JOIN b ON contains(d.t, b.t) WHERE b.t <> ''")
@@ -202,9 +206,9 @@ def ext_contam_contains(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.contained(_docs(spark, sf_dir), _t(spark, sf_dir, "benchmark"))
 
 
-def _pairs_sql() -> str:
+def _pairs_sql(table: str = "documents") -> str:
     planes = ", ".join(f"({i}, {a}, {b})" for i, (a, b) in enumerate(H.planes()))
-    return f"""WITH planes(i, a, b) AS (VALUES {planes}), n AS (SELECT doc_id, {_NORM} AS t FROM documents),
+    return f"""WITH planes(i, a, b) AS (VALUES {planes}), n AS (SELECT doc_id, {_NORM} AS t FROM {table}),
 s AS (SELECT DISTINCT doc_id, CASE WHEN length(t) < 5 THEN t ELSE substr(t, g, 5) END AS s FROM (SELECT doc_id, t, unnest(range(1, greatest(length(t) - 3, 2))) AS g FROM n)),
 x AS (SELECT doc_id, ('0x' || substr(md5(s), 1, 15))::BIGINT % 2147483647 AS x FROM s),
 m AS (SELECT doc_id, i, min((a * x + b) % 2147483647) AS h FROM x, planes GROUP BY doc_id, i),
@@ -216,7 +220,7 @@ e AS (SELECT a, b, len(list_filter(list_zip(l.sig, r.sig), lambda z: z[1] = z[2]
 
 @query(_pairs_sql() + " SELECT a, b, est FROM e WHERE est >= 0.85")
 def near_dup_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return D.near_pairs(D.signed(_docs(spark, sf_dir)))
+    return D.near_pairs(D.signed(_docs(spark, sf_dir, True)))
 
 
 @query("WITH RECURSIVE " + _pairs_sql().removeprefix("WITH ") + f""", p AS (SELECT a, b FROM e WHERE est >= 0.85), ids AS (SELECT row_number() OVER (ORDER BY doc_id) AS i, doc_id, sha256({_NORM}) AS key FROM documents),
@@ -228,14 +232,44 @@ out AS (SELECT unnest(gone) AS i FROM (SELECT gone FROM walk ORDER BY nth DESC L
 kept AS (SELECT key FROM ids WHERE i NOT IN (SELECT i FROM out))
 SELECT doc_id, CASE WHEN out.i IS NULL THEN NULL WHEN key IN (SELECT key FROM kept) THEN 'duplicate_prompt' ELSE 'near_duplicate' END AS reason FROM ids LEFT JOIN out ON ids.i = out.i""")
 def near_dup_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _docs(spark, sf_dir)
+    rows = _docs(spark, sf_dir, True)
     return D.dedup_reasons(rows).select(F.col("_seq").alias("doc_id"), "reason")
 
 
 @query()
 def near_dup_reasons_blake2b(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with the published scheme's hashes, which SQL has not."""
-    return D.dedup_reasons(_docs(spark, sf_dir), mode="blake2b").select(F.col("_seq").alias("doc_id"), "reason")
+    return D.dedup_reasons(_docs(spark, sf_dir, True), mode="blake2b").select(F.col("_seq").alias("doc_id"), "reason")
+
+
+#: Planted prompts: (id, first number, last number) of a text of numbers. The second is a near copy beyond the token bound of
+#: the first; the fourth is a near copy within the bound of the third, which is beyond it.
+_PLANTED = ((-4, 1, 6500), (-3, 1, 6800), (-2, 10_001, 15_600), (-1, 10_001, 15_300))
+
+
+def _planted_sql() -> str:
+    return " ".join(f"UNION ALL SELECT {i}, array_to_string(range({a}, {b + 1}), ' ')" for i, a, b in _PLANTED)
+
+
+@query(f"WITH RECURSIVE p(doc_id, text) AS (SELECT doc_id, text FROM documents {_planted_sql()}), " + _pairs_sql("p").removeprefix("WITH ") + f""",
+f AS (SELECT doc_id, sha256({_NORM}) AS key, {_REASON} AS late FROM p), h AS (SELECT key, min(doc_id) AS head FROM f WHERE late IS NULL GROUP BY key),
+q AS (SELECT b, list(a) AS before FROM e WHERE est >= 0.85 AND a IN (SELECT head FROM h) AND b IN (SELECT head FROM h) GROUP BY b),
+u AS (SELECT b, before, row_number() OVER (ORDER BY b) AS nth FROM q),
+walk(nth, gone) AS (SELECT 0::BIGINT, []::BIGINT[] UNION ALL
+ SELECT u.nth, CASE WHEN len(list_filter(u.before, lambda y: NOT list_contains(w.gone, y))) > 0 THEN list_append(w.gone, u.b) ELSE w.gone END FROM walk w JOIN u ON u.nth = w.nth + 1),
+out AS (SELECT unnest(gone) AS i FROM (SELECT gone FROM walk ORDER BY nth DESC LIMIT 1)),
+kept AS (SELECT head, key FROM h WHERE head NOT IN (SELECT i FROM out)),
+near AS (SELECT DISTINCT b FROM e WHERE est >= 0.85 AND a IN (SELECT head FROM kept))
+SELECT f.doc_id, CASE WHEN kept.head < f.doc_id THEN 'duplicate_prompt' WHEN near.b IS NOT NULL THEN 'near_duplicate' ELSE late END AS reason
+FROM f LEFT JOIN kept ON f.key = kept.key LEFT JOIN near ON near.b = f.doc_id""")
+def prompt_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prompt pipeline's reasons for documents and planted near copies across the token bound."""
+    numbers = lambda a, b: F.array_join(F.transform(F.sequence(F.lit(a), F.lit(b)), lambda x: x.cast("string")), " ")
+    rows = dealt(_t(spark, sf_dir, "documents")).select(F.col("doc_id").alias("_seq"), "text")
+    for i, a, b in _PLANTED:
+        rows = rows.unionByName(spark.range(1).select(F.lit(i).cast("long").alias("_seq"), numbers(a, b).alias("text")))
+    prompts = adapters.canonical(rows, adapters.Context("documents", None, "coding"), F.col("_seq").cast("string"), F.array(M.text_message("user", F.col("text"))))
+    return corpus.judged(prompts).select(F.col("_seq").alias("doc_id"), "reason")
 
 
 def _dialogs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,11 +8,24 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: A scan of fewer files than cores and of at most so many bytes is dealt out.
+FEW_BYTES = 64 << 20
+
+
 def shared_dir(spark: SparkSession) -> str:
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not at and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all nodes share")
     return (at or "file:///tmp/checkpoints/lodeweave").rstrip("/")
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """A small table in few files, dealt out to all cores: its row groups fill few tasks. Anything larger stays as it is scanned."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(cores) if size <= FEW_BYTES and len(df.inputFiles()) < cores else df
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/lodeweave-{name}-{uuid.uuid4().hex}"
