@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodeweave.sources.storage import dealt
+
 #: The white space that separates words in the query contracts: space and U+0009 to U+000D.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 _IS_SPACE = np.zeros(256, bool)
@@ -29,13 +31,16 @@ _powers: dict[int, np.ndarray] = {}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table; a small one in few files is dealt out to all cores, as its row groups would fill few tasks."""
+    return dealt(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all nodes share")
         at = "file:///tmp/checkpoints/lodeweave"
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(at)
@@ -49,6 +54,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def released(spark: SparkSession, df: DataFrame) -> None:
+    """The files behind a stored table that nothing reads any more are removed now, not at the driver's end."""
+    for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        if "/lodeweave-" in path:
+            _remove(spark, path)
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     try:
         at = spark._jvm.org.apache.hadoop.fs.Path(path)

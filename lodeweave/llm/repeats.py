@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodeweave.llm.common import SpanHash, as_text, mix, parts_for, pieces_of, read_table, scratch_path, small_batches, stored, windows_in
+from lodeweave.llm.common import SpanHash, as_text, mix, parts_for, pieces_of, read_table, released, scratch_path, small_batches, stored, windows_in
 from lodeweave.llm.suffixes import common_prefixes, runs_of, suffix_array, words_at
 
 LENGTH, SEED = 100, 50
@@ -167,15 +167,21 @@ def _ask(batches: Iterable[pa.RecordBatch], buckets: int, length: int, seed: int
 
 
 def _answer(group: pa.Table, hot: int) -> pa.Table:
-    """For each block, which of its hashes others have too, and which very many have."""
-    parts = [_from_five(x) for x in group["hashes"].to_pylist()]
-    value, row = np.concatenate(parts), np.repeat(np.arange(len(parts)), [len(x) for x in parts])
-    order = np.lexsort((row, value))
-    value, row = value[order], row[order]
-    _, inverse, count = np.unique(value, return_inverse=True, return_counts=True)
-    keep, many = count[inverse] > 1, count[inverse] > hot
-    out = [(_five(value[keep & ~many & (row == i)]), _five(value[many & (row == i)])) for i in range(len(parts))] if keep.any() else [(b"", b"")] * len(parts)
-    return pa.table([group["block"], group["bucket"], pa.array([a for a, _ in out], pa.binary()), pa.array([b for _, b in out], pa.binary())], names=["block", "bucket", "shared", "hot"])
+    """For each block, which of its hashes others have too, and which very many have. Two sorts, whatever the number of blocks."""
+    lists = group["hashes"].to_pylist()
+    value, row = _from_five(b"".join(lists)), np.repeat(np.arange(len(lists)), [len(x) // 5 for x in lists])
+    order = np.argsort(value, kind="stable")
+    heads = np.flatnonzero(np.append(True, value[order][1:] != value[order][:-1])) if len(value) else order
+    count = np.zeros(len(value), np.int64)
+    size = np.diff(np.append(heads, len(value)))
+    count[order] = np.repeat(size, size)
+
+    def cut(some: np.ndarray) -> pa.Array:  # rows are in order, so each block's values are a run
+        ends = np.searchsorted(row[some], np.arange(len(lists) + 1)) * 5
+        raw = _five(value[some])
+        return pa.array([raw[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)], pa.binary())
+
+    return pa.table([group["block"], group["bucket"], cut((count > 1) & (count <= hot)), cut(count > hot)], names=["block", "bucket", "shared", "hot"])
 
 
 def _send(block: pa.Table, answers: pa.Table, buckets: int, length: int, seed: int) -> pa.Table:
@@ -346,12 +352,14 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, seed: int = SEED, bloc
     number = F.pmod(F.xxhash64("place", "hash"), F.lit(n_blocks)).alias("block")
     packed = named.select(number, "*").groupBy("block").cogroup(firsts.select(number, "place", "hash", "n").groupBy("block")).applyInArrow(_packed, _BLOCKS)
     name = f"lodeweave_blocks_{uuid.uuid4().hex}"
-    packed.write.bucketBy(buckets, "block").option("path", scratch_path(spark, "blocks")).option("compression", "uncompressed").saveAsTable(name)
-    blocks = spark.table(name)
+    path = scratch_path(spark, "blocks")
+    packed.write.bucketBy(buckets, "block").option("path", path).option("compression", "uncompressed").saveAsTable(name)
+    blocks, blocks_at = spark.table(name), spark.read.schema(_BLOCKS).parquet(path)
     asked = blocks.select("block", "size", "lens", "ids", "text").mapInArrow(lambda x: _ask(x, buckets, length, seed), "bucket long, block long, hashes binary")
-    answers = asked.groupBy("bucket").applyInArrow(lambda x: _answer(x, hot), "block long, bucket long, shared binary, hot binary")
+    # by count of buckets, not the session's: a task holds a bucket's share however large the corpus is
+    answers = asked.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(lambda x: _answer(x, hot), "block long, bucket long, shared binary, hot binary")
     sent = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(lambda x, y: _send(x, y, buckets, length, seed), _SENT)
-    marks = sent.groupBy("bucket").applyInArrow(lambda x: _found(x, length), _MARKS)
+    marks = sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(lambda x: _found(x, length), _MARKS)
     cut = blocks.groupBy("block").cogroup(marks.groupBy("block")).applyInArrow(lambda x, y: _cut(x, y, length), _RESULT)
     each = cut.select("doc_id", F.explode(F.sequence(F.lit(1).cast("long"), "rows")).alias("row"), "n_bytes", "n_removed", "spans", "kept_sha256").drop("row")
     copies = ids.join(firsts.select("hash", "place"), ["hash", "place"], "left_anti")
@@ -362,7 +370,11 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, seed: int = SEED, bloc
         F.when(long_enough, F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end")))).otherwise(F.array().cast("array<struct<start: bigint, end: bigint>>")).alias("spans"),
         F.when(long_enough, F.sha2(F.lit("").cast("binary"), 256)).otherwise(F.col("hash")).alias("kept_sha256"),
     ).drop("row")
-    return each.unionByName(copies)
+    done = stored(each.unionByName(copies), "repeats")
+    spark.sql(f"DROP TABLE {name}")
+    for table in (blocks_at, ids):
+        released(spark, table)
+    return done
 
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
