@@ -70,18 +70,49 @@ class Index:
             seen[(value >> np.uint64(64 - bits)).astype(np.int64)] = True
             self.sizes[size] = value, item, place, seen, np.uint64(64 - bits)
 
-    def hits(self, size: int, words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
-        """(row, item, place in the item, place among the words) of each seed that is found within a row."""
+    def hits(self, size: int, words: np.ndarray, first: np.ndarray, coverage: float) -> tuple[np.ndarray, ...]:
+        """(row, item, place in the item, place among the words) of the seeds of pairs that could be covered enough.
+
+        A seed that a row repeats is looked up once: pairs are judged by the places in the item that its seeds would cover, and
+        only those that are left are spread over all places in the row. So a stock phrase of many items and many places in
+        a text makes no product of them.
+        """
         value, item, place, seen, shift = self.sizes[size]
         h = SpanHash(words).every(size)
         at = np.flatnonzero(seen[(h >> shift).astype(np.int64)])
         row = np.searchsorted(first, at, "right") - 1
         inside = at + size <= first[row + 1]
         at, row = at[inside], row[inside]
-        low, high = np.searchsorted(value, h[at]), np.searchsorted(value, h[at], "right")
-        n = high - low
-        which = np.repeat(low - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum()) if len(n) else np.zeros(0, np.int64)
-        return np.repeat(row, n), item[which], place[which], np.repeat(at, n)
+        low = np.searchsorted(value, h[at])
+        real = (low < len(value)) & (value[np.minimum(low, len(value) - 1)] == h[at])
+        at, row, low = at[real], row[real], low[real]
+        order = np.lexsort((at, low, row))
+        at, row, low = at[order], row[order], low[order]
+        heads = np.flatnonzero(np.append(True, (np.diff(row) != 0) | (np.diff(low) != 0))) if len(at) else at
+        times = np.diff(np.append(heads, len(at)))
+        n = np.searchsorted(value, value[low[heads]], "right") - low[heads]
+        seed, which = _spread(n, low[heads])
+        pair = row[heads][seed] * len(self.ids) + item[which]
+        order = np.lexsort((place[which], pair))
+        seed, which, pair = seed[order], which[order], pair[order]
+        if not len(pair):
+            return at, at, at, at
+        ends = np.flatnonzero(np.append(pair[1:] != pair[:-1], True))
+        step = np.full(len(pair), size)  # words that the seeds cover: up to the next seed of the pair, `size` at most
+        step[:-1] = np.minimum(size, np.diff(place[which]))
+        step[ends] = size
+        starts = np.append(0, ends[:-1] + 1)
+        enough = np.add.reduceat(step, starts) >= coverage * self.lens[item[which[starts]]]
+        left = np.repeat(enough, ends - starts + 1)
+        seed, which = seed[left], which[left]
+        back, where = _spread(times[seed], heads[seed])
+        return row[where], item[which[back]], place[which[back]], at[where]
+
+
+def _spread(n: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each i, n[i] times: i, and the numbers from start[i] on."""
+    source = np.repeat(np.arange(len(n)), n)
+    return source, np.arange(len(source)) + np.repeat(start - np.append(0, np.cumsum(n)[:-1]), n) if len(n) else source
 
 
 def tiles(item_at: np.ndarray, doc_at: np.ndarray, size: int) -> list[tuple[int, int, int]]:
@@ -117,23 +148,17 @@ def _matches(index: Index, buf: np.ndarray, offsets: np.ndarray, coverage: float
     words, first = word_hashes(buf, offsets)
     out: dict[int, list[tuple[int, float]]] = {}
     for size in index.sizes:
-        row, item, item_at, doc_at = index.hits(size, words, first)
+        row, item, item_at, doc_at = index.hits(size, words, first, coverage)
         if not len(row):
             continue
         order = np.lexsort((doc_at, item_at, item, row))
         row, item, item_at, doc_at = (x[order] for x in (row, item, item_at, doc_at))
         heads = np.flatnonzero(np.append(True, (np.diff(row) != 0) | (np.diff(item) != 0)))
-        # words that the seeds cover: up to the next seed of the pair, `size` at most
-        step = np.full(len(row), size)
-        step[:-1] = np.minimum(size, np.diff(item_at))
-        step[heads[1:] - 1] = size
-        most = np.add.reduceat(step, heads)
-        for a, b, n in zip(heads.tolist(), [*heads[1:].tolist(), len(row)], most.tolist(), strict=True):
+        for a, b in zip(heads.tolist(), [*heads[1:].tolist(), len(row)], strict=True):
             length = int(index.lens[item[a]])
-            if n >= coverage * length:
-                share = sum(x[2] for x in tiles(item_at[a:b], doc_at[a:b], size)) / length
-                if share >= coverage:
-                    out.setdefault(int(row[a]), []).append((index.ids[item[a]], share))
+            share = sum(x[2] for x in tiles(item_at[a:b], doc_at[a:b], size)) / length
+            if share >= coverage:
+                out.setdefault(int(row[a]), []).append((index.ids[item[a]], share))
     return out
 
 
