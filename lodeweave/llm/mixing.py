@@ -21,6 +21,8 @@ from lodeweave.llm.common import WORD_PATTERN, as_text, read_table, stored
 MOST_REPEATS = 3
 SEED = 17
 RANGE_ROWS = 4096
+#: Sources whose cuts are sent to all tasks.
+MOST_SENT = 100_000
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
@@ -55,7 +57,7 @@ def sized(docs: DataFrame, seed: int = SEED) -> DataFrame:
 
 
 def take(docs: DataFrame, seed: int = SEED) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, taken, text_hash.
+    """One row per document: doc_id, source, size, source_size, target, taken, text_hash, key, whole (times that all of it is taken).
 
     A source whose target is more than its size is taken whole as often as that goes; the rest of the target is
     taken in the order of the keys. The document at the cut gives its first words only, so a source's taken
@@ -82,17 +84,43 @@ def take(docs: DataFrame, seed: int = SEED) -> DataFrame:
     whole = F.floor(F.col("target") / F.greatest(F.col("source_size"), F.lit(1))).cast("long")
     left = F.floor(F.col("target")).cast("long") - whole * F.col("source_size")
     part = F.least(F.greatest(left - F.col("start"), F.lit(0)), F.col("size"))
-    return placed.select("doc_id", "source", "size", "source_size", "target", (whole * F.col("size") + part).cast("long").alias("taken"), "text_hash")
+    return placed.select("doc_id", "source", "size", "source_size", "target", (whole * F.col("size") + part).cast("long").alias("taken"), "text_hash", "key", whole.alias("whole"))
 
 
-def mixed(docs: DataFrame, seed: int = SEED) -> DataFrame:
-    """The mix itself: each document as often as it is taken, the one at a source's cut with its first words only.
+def _order(size, text_hash, key, doc_id):
+    """A row's place in its source."""
+    return F.struct(key.alias("key"), doc_id.alias("doc_id"), size.alias("size"), text_hash.alias("text_hash"))
 
-    Columns as they were; n_chars (if there) is made anew for a text that is cut. A document whose `taken` is 0 is
-    not in the mix; one without words is in it once, as it costs nothing. Rows alike in id, source and text are
-    numbered, so that each meets one decision.
-    """
-    found = stored(take(docs, seed), "taken")
+
+def cuts(found: DataFrame) -> DataFrame:
+    """(source, whole, cut, part) of each source: from the row `cut` on, rows are no more taken once more; that row gives `part` words."""
+    place = _order(F.col("size"), F.col("text_hash"), F.col("key"), F.col("doc_id"))
+    part = F.col("taken") - F.col("whole") * F.col("size")
+    open_row = F.when(part < F.col("size"), place)
+    return found.groupBy("source").agg(F.first("whole").alias("whole"), F.min(open_row).alias("cut"), F.min_by(part, open_row).alias("part"))
+
+
+def _each_by_cuts(docs: DataFrame, edges: DataFrame, seed: int) -> DataFrame:
+    """docs as often as they are taken, with __lw_part; the cuts, a row for each source, are sent to all tasks, so no text moves."""
+    own = docs.select(*(F.col(f"`{c}`") for c in docs.columns), F.col("source").cast("string").alias("__lw_source"), F.col("doc_id").alias("__lw_id"), F.md5(as_text()).alias("__lw_hash"))
+    own = sized(own, seed).withColumnsRenamed({"mix_size": "__lw_size", "mix_key": "__lw_key"})
+    small = F.broadcast(edges.select(F.col("source").alias("__lw_of"), F.col("whole").alias("__lw_whole"), F.col("cut").alias("__lw_cut"), F.col("part").alias("__lw_at_cut")))
+    placed = own.join(small, F.col("__lw_source").eqNullSafe(F.col("__lw_of")))
+    place = _order(F.col("__lw_size"), F.col("__lw_hash"), F.col("__lw_key"), F.col("__lw_id"))
+    once_more = F.when(F.col("__lw_cut").isNull() | (place < F.col("__lw_cut")), F.col("__lw_size")).when(place == F.col("__lw_cut"), F.col("__lw_at_cut")).otherwise(0)
+    copies = _copies(F.col("__lw_size"), F.col("__lw_whole") * F.col("__lw_size") + once_more)
+    return placed.select(*(F.col(f"`{c}`") for c in docs.columns), F.explode(copies).alias("__lw_part"))
+
+
+def _copies(size, taken):
+    """0 for each whole copy, and the words of one that is cut. A text without words is one copy."""
+    whole = F.when(size > 0, F.floor(taken / size)).otherwise(F.lit(1)).cast("int")
+    part = F.when(size > 0, taken % size).otherwise(F.lit(0)).cast("int")
+    return F.concat(F.array_repeat(F.lit(0), whole), F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<int>")))
+
+
+def _each_by_rows(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The same by a join of rows: where more sources than can be sent, or rows alike in all at a cut."""
     alike = W.partitionBy("doc_id", "source", "text_hash")
     same = F.col("d.doc_id").cast("string").eqNullSafe(F.col("m.doc_id").cast("string")) & F.col("d.source").cast("string").eqNullSafe(F.col("m.source")) & (F.md5(as_text("d.text")) == F.col("m.text_hash"))
     rows = docs
@@ -100,11 +128,25 @@ def mixed(docs: DataFrame, seed: int = SEED) -> DataFrame:
         found = found.withColumn("__lw_nth", F.row_number().over(alike.orderBy(F.col("taken").desc())))
         rows = docs.withColumn("__lw_nth", F.row_number().over(W.partitionBy("doc_id", F.col("source").cast("string"), F.md5(as_text())).orderBy("doc_id")))
         same = same & (F.col("d.__lw_nth") == F.col("m.__lw_nth"))
-    size, taken = F.col("m.size"), F.col("m.taken")
-    whole = F.when(size > 0, F.floor(taken / size)).otherwise(F.lit(1)).cast("int")
-    part = F.when(size > 0, taken % size).otherwise(F.lit(0)).cast("int")
-    copies = F.concat(F.array_repeat(F.lit(0), whole), F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<int>")))
-    each = rows.alias("d").join(found.alias("m"), same).select(*(F.col(f"d.`{c}`") for c in docs.columns), F.explode(copies).alias("__lw_part"))
+    return rows.alias("d").join(found.alias("m"), same).select(*(F.col(f"d.`{c}`") for c in docs.columns), F.explode(_copies(F.col("m.size"), F.col("m.taken"))).alias("__lw_part"))
+
+
+def mixed(docs: DataFrame, seed: int = SEED, most_sent: int = MOST_SENT) -> DataFrame:
+    """The mix itself: each document as often as it is taken, the one at a source's cut with its first words only.
+
+    Columns as they were; n_chars (if there) is made anew for a text that is cut. A document whose `taken` is 0 is
+    not in the mix; one without words is in it once, as it costs nothing. A mix is a cut for each source, so the
+    cuts are sent and texts stay where they are; with more than most_sent sources, or with rows alike in id, source and
+    text at a cut, rows are numbered and joined instead, so that each meets one decision.
+    """
+    found = stored(take(docs, seed), "taken")
+    edges = stored(cuts(found), "cuts")
+    edge = F.col("e.cut")
+    at_cut = found.alias("f").join(edges.alias("e"), F.col("f.source").eqNullSafe(F.col("e.source")) & (_order(F.col("f.size"), F.col("f.text_hash"), F.col("f.key"), F.col("f.doc_id")) == edge))
+    if edges.count() <= most_sent and not at_cut.groupBy(F.hex(F.encode("f.source", "UTF-8"))).count().filter("count > 1").limit(1).count():
+        each = _each_by_cuts(docs, edges, seed)
+    else:
+        each = _each_by_rows(docs, found)
     cut = F.col("__lw_part") > 0
     words = F.regexp_extract_all(as_text(), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
     out = each.withColumn("text", F.when(cut, F.array_join(F.slice(words, F.lit(1), F.greatest(F.col("__lw_part"), F.lit(1))), "")).otherwise(F.col("text")))
