@@ -24,6 +24,8 @@ from lodeweave.functions import text as T
 
 SLOTS, BANDS, SHINGLE, THRESHOLD = 64, 16, 5, 0.85
 MERSENNE = (1 << 31) - 1
+#: Code points that are signed together; the slots of a distinct shingle take 256 bytes, and a table of twice as many is kept.
+PIECE = 1 << 18
 
 
 def planes() -> list[tuple[int, int]]:
@@ -46,37 +48,101 @@ def native_signature(x: Column) -> Column:
     return T.let(hashes, lambda hs: F.transform(pairs, lambda p: F.array_min(F.transform(hs, lambda h: (p["a"] * h + p["b"]) % MERSENNE)).cast("int")))
 
 
-def _hash_md5(s: bytes) -> int:
-    return int(hashlib.md5(s).hexdigest()[:15], 16)
-
-
-def _hash_blake2b(s: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(s, digest_size=8).digest(), "big")
+def _digest_md5(s: bytes) -> bytes:
+    return hashlib.md5(s).digest()[:8]
+
+
+def _digest_blake2b(s: bytes) -> bytes:
+    return hashlib.blake2b(s, digest_size=8).digest()
+
+
+def _kinds(codes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the shingles of code points that start at `at`: the place in `at` of one of each kind, and the kind of each."""
+    there = np.zeros(0x110000, bool)
+    there[codes] = True
+    letters = (np.cumsum(there) - 1)[codes]
+    bits = int(letters.max()).bit_length()
+    key, width = letters[at], bits
+    for i in range(1, SHINGLE):
+        if width + bits > 63:  # kinds so far take their numbers, which are few
+            key = np.unique(key, return_inverse=True)[1]
+            width = len(at).bit_length()
+        key, width = (key << bits) | letters[at + i], width + bits
+    return np.unique(key, return_index=True, return_inverse=True)[1:]
+
+
+class Signer:
+    """Signatures of normal forms in one hash mode.
+
+    Equal texts of a batch are signed once; the others go through in pieces of PIECE code points, so a long text takes no
+    more memory than others. The slot values of a shingle, before minima are taken, are a row of `table`, which later pieces
+    look up; the table starts anew when a piece may not fit in it.
+    """
+
+    def __init__(self, mode: str):
+        self.digest, self.shift = {"md5": (_digest_md5, 4), "blake2b": (_digest_blake2b, 0)}[mode]
+        self.a, self.b = (np.array(x, np.uint64) for x in zip(*planes(), strict=True))
+        self.known: dict[str, int] = {}
+        self.table = np.empty((2 * PIECE, SLOTS), np.int32)
+
+    def places(self, shingles: list[str]) -> np.ndarray:
+        """Rows of the table for distinct shingles, no more than PIECE."""
+        if len(self.known) + len(shingles) > len(self.table):
+            self.known.clear()
+        known, at = self.known, len(self.known)
+        new = [s for s in shingles if s not in known]
+        raw = b"".join(self.digest(s.encode()) for s in new)
+        hashes = (np.frombuffer(raw, ">u8").astype(np.uint64) >> np.uint64(self.shift)) % np.uint64(MERSENNE)
+        for k in range(0, len(new), 4096):
+            part = hashes[k : k + 4096, None]
+            self.table[at + k : at + k + len(part)] = (part * self.a + self.b) % np.uint64(MERSENNE)
+        known.update(zip(new, range(at, at + len(new)), strict=True))
+        return np.fromiter(map(known.__getitem__, shingles), np.int64, len(shingles))
+
+    def __call__(self, texts: list[str | None]) -> list[np.ndarray | None]:
+        least = {t: np.full(SLOTS, MERSENNE, np.int32) for t in texts if t is not None}
+        short = [t for t in least if len(t) < SHINGLE]
+        for k in range(0, len(short), PIECE):
+            some = short[k : k + PIECE]
+            least.update(zip(some, self.table[self.places(some)], strict=True))
+        step = PIECE - SHINGLE + 1
+        parts = [(t, at) for t in least if len(t) >= SHINGLE for at in range(0, len(t) - SHINGLE + 1, step)]
+        piece, size = [], 0
+        for t, at in parts:
+            part = t[at : at + PIECE]
+            if size + len(part) > PIECE:
+                self.piece(piece, least)
+                piece, size = [], 0
+            piece.append((t, part))
+            size += len(part)
+        if piece:
+            self.piece(piece, least)
+        return [None if t is None else least[t] for t in texts]
+
+    def piece(self, parts: list[tuple[str, str]], least: dict[str, np.ndarray]) -> None:
+        """Takes the shingles of the parts (text, part of it) into their texts' minima."""
+        whole = "".join(part for _, part in parts)
+        ends = np.cumsum([len(part) for _, part in parts])
+        inside = np.ones(len(whole), bool)
+        for back in range(1, SHINGLE):
+            inside[ends - back] = False
+        at = np.flatnonzero(inside)
+        one, kind = _kinds(np.frombuffer(whole.encode("utf-32-le"), np.uint32), at)
+        rows = self.places([whole[i : i + SHINGLE] for i in at[one].tolist()])[kind]
+        cuts = np.searchsorted(at, np.append(0, ends)).tolist()
+        for (t, _), lo, hi in zip(parts, cuts[:-1], cuts[1:], strict=True):
+            for k in range(lo, hi, 8192):
+                np.minimum(least[t], self.table[rows[k : min(hi, k + 8192)]].min(axis=0), out=least[t])
 
 
 def signature_udf(mode: str = "md5"):
-    """Of normal forms. Shingles are made distinct for each text; hashes are remembered for each batch, up to a bound."""
-    one = {"md5": _hash_md5, "blake2b": _hash_blake2b}[mode]
+    """Of normal forms."""
 
     @F.pandas_udf(Ty.ArrayType(Ty.IntegerType()))
     def signature(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        a, b = (np.array(x, np.uint64)[:, None] for x in zip(*planes(), strict=True))
-        m, known = np.uint64(MERSENNE), {}
-
-        def of(t: str | None):
-            if t is None:
-                return None
-            distinct = {t} if len(t) < SHINGLE else {t[i : i + SHINGLE] for i in range(len(t) - SHINGLE + 1)}
-            if len(known) > 500_000:
-                known.clear()
-            hashes = np.fromiter((known[s] if s in known else known.setdefault(s, one(s.encode()) % MERSENNE) for s in distinct), np.uint64, len(distinct))
-            least = np.full(SLOTS, MERSENNE, np.uint64)
-            for at in range(0, len(hashes), 4096):
-                least = np.minimum(least, ((a * hashes[at : at + 4096] + b) % m).min(axis=1))
-            return least.astype(np.int32)
-
+        of = Signer(mode)
         for batch in batches:
-            yield pd.Series([of(t) for t in batch])
+            yield pd.Series(of(batch.tolist()), dtype=object)
 
     return signature
 
@@ -85,10 +151,10 @@ def signature(x: Column | str, mode: str = "md5") -> Column:
     return signature_udf(mode)(T.normalise(x))
 
 
-def bands(sig: Column, n: int = BANDS) -> Column:
-    """(band, values) of each band."""
+def band_keys(sig: Column, images: Column, n: int = BANDS) -> Column:
+    """A key of each band, which the images are part of."""
     width = SLOTS // n
-    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda k: F.struct(k.alias("band"), F.xxhash64(F.slice(sig, k * width + 1, width)).alias("key")))
+    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda k: F.xxhash64(k, F.slice(sig, k * width + 1, width), images))
 
 
 def estimate(a: Column, b: Column) -> Column:

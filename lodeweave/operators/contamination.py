@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lodeweave.functions import minhash as M
 from lodeweave.functions import text as T
 from lodeweave.operators.dedup import band_pairs
-from lodeweave.sources.storage import stored
+from lodeweave.sources.storage import small_batches, stored
 
 #: Bytes of evaluation texts up to which they are sent to all tasks.
 SENT = 8 << 20
@@ -21,6 +21,7 @@ def exact_hits(rows: DataFrame, evals: DataFrame, row_id: str = "id", text: str
 
 def near_hits(rows: DataFrame, evals: DataFrame, threshold: float = M.THRESHOLD, mode: str = "md5", row_id: str = "id", text: str = "text") -> DataFrame:
     """Rows within the threshold of an evaluation text."""
+    small_batches(rows.sparkSession)
     signed = lambda d, k, x: stored(d.select(F.col(k).alias("k"), F.lit("").alias("dedup_images"), M.signature(x, mode).alias("dedup_sig")), "signs")
     pairs = band_pairs(signed(rows, row_id, text), signed(evals.withColumn("eval_id", F.xxhash64("text")).dropDuplicates(["eval_id"]), "eval_id", "text"), threshold, ordered=False)
     return pairs.select(F.col("a").alias(row_id)).distinct()

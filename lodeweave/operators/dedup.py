@@ -8,6 +8,8 @@ alone takes part in the near-duplicate graph with the rest settled by it, so cop
 
 from __future__ import annotations
 
+import math
+from functools import reduce
 from itertools import count
 
 from pyspark.sql import Column, DataFrame
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 
 from lodeweave.functions import minhash as M
 from lodeweave.functions import text as T
-from lodeweave.sources.storage import stored
+from lodeweave.sources.storage import small_batches, stored
 
 #: Rounds after which open edges are counted, and how many of them are settled in order at once.
 ROUNDS, MOST_LEFT = 8, 100_000
@@ -24,25 +26,42 @@ ROUNDS, MOST_LEFT = 8, 100_000
 def signed(rows: DataFrame, text: Column | str = "text", images: Column | None = None, mode: str = "md5") -> DataFrame:
     """rows with dedup_key, dedup_images (the image identity) and dedup_sig."""
     images = F.array().cast("array<string>") if images is None else images
+    small_batches(rows.sparkSession)
     return rows.withColumns({"dedup_key": T.row_key(text, images), "dedup_images": F.array_join(F.array_sort(images), ","), "dedup_sig": M.signature(text, mode)})
 
 
 def band_pairs(left: DataFrame, right: DataFrame, threshold: float = M.THRESHOLD, ordered: bool = True) -> DataFrame:
     """(a, b, est): rows of left and right (k, dedup_images, dedup_sig) that share a band, the images and the threshold.
 
-    ordered: left and right are one table, and a comes before b. Only the band keys and row keys are joined on bands; the
-    signatures are joined to the distinct pairs.
+    ordered: left and right are one table, and a comes before b. Signatures within the threshold differ in few bands, so of
+    each row as many bands and one more will do, if all rows choose alike: they take the rarest, and of these only such as
+    occur again. A band that very many rows share is joined for those rows alone that have no rarer ones. Only band keys and
+    row keys are joined on bands; the signatures are joined to the distinct pairs.
     """
     if threshold <= 0.75:
         raise ValueError("below this threshold bands can miss pairs")
-    banded = lambda d, name: d.select(F.col("k").alias(name), "dedup_images", F.explode(M.bands(F.col("dedup_sig"))).alias("x")).select(name, "dedup_images", "x.band", "x.key")
-    pairs = banded(left, "a").join(banded(right, "b"), ["band", "key", "dedup_images"])
+    differ = M.SLOTS - math.ceil(M.SLOTS * threshold)
+    # ids may repeat, so the signature's hash tells rows apart
+    keyed = lambda d: d.select("k", F.xxhash64("dedup_sig", "dedup_images").alias("row"), F.explode(M.band_keys(F.col("dedup_sig"), F.col("dedup_images"))).alias("key"))
+    tables = [keyed(left)] if ordered else [keyed(left), keyed(right)]
+    often = reduce(DataFrame.unionByName, [d.select("key") for d in tables]).groupBy("key").agg(F.count("*").alias("n"))
+
+    def rarest(d: DataFrame, name: str) -> DataFrame:
+        chosen = F.slice(F.array_sort(F.collect_set(F.struct("n", "key"))), 1, differ + 1)
+        few = d.join(often, "key").groupBy("k", "row").agg(chosen.alias("keys"))
+        return few.select(F.col("k").alias(name), F.explode("keys").alias("x")).filter("x.n > 1").select(name, "x.key")
+
+    ends = [rarest(tables[0], "a"), rarest(tables[-1], "b")]
+    if ordered:
+        slim = stored(ends[0], "bands")
+        ends = [slim, slim.withColumnRenamed("a", "b")]
+    pairs = ends[0].join(ends[1], "key")
     if ordered:
         pairs = pairs.filter("a < b")
     pairs = pairs.select("a", "b").distinct()
-    sig = lambda d, name, out: d.select(F.col("k").alias(name), F.col("dedup_sig").alias(out))
-    full = pairs.join(sig(left, "a", "sa"), "a").join(sig(right, "b", "sb"), "b").withColumn("est", M.estimate(F.col("sa"), F.col("sb")))
-    return full.filter(F.col("est") >= threshold).select("a", "b", "est")
+    sig = lambda d, name, out: d.select(F.col("k").alias(name), F.struct("dedup_images", "dedup_sig").alias(out))
+    full = pairs.join(sig(left, "a", "sa"), "a").join(sig(right, "b", "sb"), "b").filter("sa.dedup_images = sb.dedup_images")
+    return full.withColumn("est", M.estimate(F.col("sa.dedup_sig"), F.col("sb.dedup_sig"))).filter(F.col("est") >= threshold).select("a", "b", "est")
 
 
 def near_pairs(rows: DataFrame, threshold: float = M.THRESHOLD) -> DataFrame:
@@ -97,9 +116,11 @@ def settled(signs: DataFrame, threshold: float = M.THRESHOLD) -> DataFrame:
     """The reasons of `dedup_reasons` for signed rows."""
     heads = signs.groupBy("dedup_key").agg(F.min("_seq").alias("head"))
     first = stored(signs.join(heads, (signs["dedup_key"] == heads["dedup_key"]) & (signs["_seq"] == heads["head"]), "left_semi").select(F.col("_seq").alias("k"), "dedup_images", "dedup_sig"), "heads")
-    verdict = first_wins(first, band_pairs(first, first, threshold))
-    every = signs.select("_seq", "dedup_key").join(heads, "dedup_key").join(verdict.select(F.col("k").alias("head"), "kept"), "head")
-    reason = F.when(~F.col("kept"), "near_duplicate").when(F.col("_seq") != F.col("head"), "duplicate_prompt")
+    # rows of one signature stand against the same rows, so all but the first of them are out, whether it is kept or not
+    classes = stored(first.groupBy("dedup_images", "dedup_sig").agg(F.min("k").alias("k")), "classes")
+    verdict = first_wins(classes, band_pairs(classes, classes, threshold))
+    every = signs.select("_seq", "dedup_key").join(heads, "dedup_key").join(verdict.select(F.col("k").alias("head"), "kept"), "head", "left")
+    reason = F.when(~F.coalesce("kept", F.lit(False)), "near_duplicate").when(F.col("_seq") != F.col("head"), "duplicate_prompt")
     return every.select("_seq", reason.alias("reason"))
 
 
