@@ -30,40 +30,83 @@ def signed(rows: DataFrame, text: Column | str = "text", images: Column | None =
     return rows.withColumns({"dedup_key": T.row_key(text, images), "dedup_images": F.array_join(F.array_sort(images), ","), "dedup_sig": M.signature(text, mode)})
 
 
-def band_pairs(left: DataFrame, right: DataFrame, threshold: float = M.THRESHOLD, ordered: bool = True) -> DataFrame:
-    """(a, b, est): rows of left and right (k, dedup_images, dedup_sig) that share a band, the images and the threshold.
-
-    ordered: left and right are one table, and a comes before b. Signatures within the threshold differ in few bands, so of
-    each row as many bands and one more will do, if all rows choose alike: they take the rarest, and of these only such as
-    occur again. A band that very many rows share is joined for those rows alone that have no rarer ones. Only band keys and
-    row keys are joined on bands; the signatures are joined to the distinct pairs.
-    """
+def _differ(threshold: float) -> int:
+    """The most slots, and so bands, in which two signatures within the threshold differ."""
     if threshold <= 0.75:
         raise ValueError("below this threshold bands can miss pairs")
-    differ = M.SLOTS - math.ceil(M.SLOTS * threshold)
+    return M.SLOTS - math.ceil(M.SLOTS * threshold)
+
+
+def _rare_bands(tables: list[DataFrame], threshold: float) -> list[DataFrame]:
+    """(k, key) of each table of signed rows: band keys of which any two rows within the threshold have one in common.
+
+    Signatures within the threshold differ in few bands, so of each row as many bands and one more will do, if all rows
+    choose alike: they take the rarest, and of these only such as occur again.
+    """
+    differ = _differ(threshold)
     # ids may repeat, so the signature's hash tells rows apart
-    keyed = lambda d: d.select("k", F.xxhash64("dedup_sig", "dedup_images").alias("row"), F.explode(M.band_keys(F.col("dedup_sig"), F.col("dedup_images"))).alias("key"))
-    tables = [keyed(left)] if ordered else [keyed(left), keyed(right)]
-    often = reduce(DataFrame.unionByName, [d.select("key") for d in tables]).groupBy("key").agg(F.count("*").alias("n"))
+    keyed = [d.select("k", F.xxhash64("dedup_sig", "dedup_images").alias("row"), F.explode(M.band_keys(F.col("dedup_sig"), F.col("dedup_images"))).alias("key")) for d in tables]
+    often = reduce(DataFrame.unionByName, [d.select("key") for d in keyed]).groupBy("key").agg(F.count("*").alias("n"))
+    chosen = F.slice(F.array_sort(F.collect_set(F.struct("n", "key"))), 1, differ + 1)
+    few = [d.join(often, "key").groupBy("k", "row").agg(chosen.alias("keys")) for d in keyed]
+    return [d.select("k", F.explode("keys").alias("x")).filter("x.n > 1").select("k", "x.key") for d in few]
 
-    def rarest(d: DataFrame, name: str) -> DataFrame:
-        chosen = F.slice(F.array_sort(F.collect_set(F.struct("n", "key"))), 1, differ + 1)
-        few = d.join(often, "key").groupBy("k", "row").agg(chosen.alias("keys"))
-        return few.select(F.col("k").alias(name), F.explode("keys").alias("x")).filter("x.n > 1").select(name, "x.key")
 
-    ends = [rarest(tables[0], "a"), rarest(tables[-1], "b")]
-    if ordered:
-        slim = stored(ends[0], "bands")
-        ends = [slim, slim.withColumnRenamed("a", "b")]
-    pairs = ends[0].join(ends[1], "key")
-    if ordered:
-        pairs = pairs.filter("a < b")
-    pairs = pairs.select("a", "b").distinct()
+def _within(pairs: DataFrame, left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
+    """(a, b, est) of the pairs (a, b) of signed rows that have the same images and are within the threshold."""
     sig = lambda d, name, out: d.select(F.col("k").alias(name), F.struct("dedup_images", "dedup_sig").alias(out))
     full = pairs.join(sig(left, "a", "sa"), "a").join(sig(right, "b", "sb"), "b").filter("sa.dedup_images = sb.dedup_images")
     return full.withColumn("est", M.estimate(F.col("sa.dedup_sig"), F.col("sb.dedup_sig"))).filter(F.col("est") >= threshold).select("a", "b", "est")
 
 
+def _in_bands(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(a, b) of rows (k, key) with a key in common."""
+    return left.withColumnRenamed("k", "a").join(right.withColumnRenamed("k", "b"), "key")
+
+
+def band_pairs(left: DataFrame, right: DataFrame, threshold: float = M.THRESHOLD, ordered: bool = True) -> DataFrame:
+    """(a, b, est): rows of left and right (k, dedup_images, dedup_sig) that share a band, the images and the threshold.
+
+    ordered: left and right are one table, and a comes before b. Only band keys and row keys are joined on bands; the
+    signatures are joined to the distinct pairs.
+    """
+    if ordered:
+        rare = stored(_rare_bands([left], threshold)[0], "bands")
+        pairs = _in_bands(rare, rare).filter("a < b")
+    else:
+        pairs = _in_bands(*_rare_bands([left, right], threshold))
+    return _within(pairs.select("a", "b").distinct(), left, right, threshold)
+
+
+def first_of(rows: DataFrame, threshold: float = M.THRESHOLD) -> DataFrame:
+    """(k, kept) of signed rows (k, dedup_images, dedup_sig): `first_wins` on the pairs within the threshold.
+
+    A row that is the first in all its bands stays, and what is near it goes; comparing it with the rows of its bands makes
+    no more pairs than there are band keys. This is repeated on what is left, as long as bands hold many pairs and a round
+    takes a quarter of them away; the pairs of the rest are then made, so large groups of near copies are not.
+    """
+    live = stored(_rare_bands([rows], threshold)[0], "bands")
+    most, settled_rows, before = 2 * live.count(), [], None
+    while True:
+        led = live.groupBy("key").agg(F.min("k").alias("lead"), F.count("*").alias("n"))
+        inside = led.agg(F.coalesce(F.sum(F.col("n") * (F.col("n") - 1) / 2), F.lit(0.0))).first()[0]
+        if inside <= most or (before is not None and inside > 0.75 * before):
+            break
+        before = inside
+        marked = stored(live.join(led.select("key", "lead"), "key"), "marked")
+        stay = stored(marked.groupBy("k").agg(F.min(F.col("k") == F.col("lead")).alias("first")).filter("first").select("k"), "first")
+        pairs = marked.filter("lead < k").select(F.col("lead").alias("a"), F.col("k").alias("b")).distinct().join(stay.withColumnRenamed("k", "a"), "a", "left_semi")
+        out = _within(pairs, rows, rows, threshold).select(F.col("b").alias("k")).distinct()
+        step = stored(stay.withColumn("kept", F.lit(True)).unionByName(out.withColumn("kept", F.lit(False))), "settled")
+        settled_rows.append(step)
+        live = stored(live.join(step, "k", "left_anti"), "bands")
+    edges = _within(_in_bands(live, live).filter("a < b").select("a", "b").distinct(), rows, rows, threshold)
+    if not settled_rows:
+        return first_wins(rows, edges)
+    done = reduce(DataFrame.unionByName, settled_rows)
+    return done.unionByName(first_wins(rows.select("k").join(done, "k", "left_anti"), edges))
+
+
 def near_pairs(rows: DataFrame, threshold: float = M.THRESHOLD) -> DataFrame:
     """All pairs of rows (_seq, dedup_images, dedup_sig) within the threshold: (a, b, est) with a before b."""
     slim = rows.select(F.col("_seq").alias("k"), "dedup_images", "dedup_sig")
@@ -118,7 +161,7 @@ def settled(signs: DataFrame, threshold: float = M.THRESHOLD) -> DataFrame:
     first = stored(signs.join(heads, (signs["dedup_key"] == heads["dedup_key"]) & (signs["_seq"] == heads["head"]), "left_semi").select(F.col("_seq").alias("k"), "dedup_images", "dedup_sig"), "heads")
     # rows of one signature stand against the same rows, so all but the first of them are out, whether it is kept or not
     classes = stored(first.groupBy("dedup_images", "dedup_sig").agg(F.min("k").alias("k")), "classes")
-    verdict = first_wins(classes, band_pairs(classes, classes, threshold))
+    verdict = first_of(classes, threshold)
     every = signs.select("_seq", "dedup_key").join(heads, "dedup_key").join(verdict.select(F.col("k").alias("head"), "kept"), "head", "left")
     reason = F.when(~F.coalesce("kept", F.lit(False)), "near_duplicate").when(F.col("_seq") != F.col("head"), "duplicate_prompt")
     return every.select("_seq", reason.alias("reason"))

@@ -81,3 +81,21 @@ def test_reasons_of_equal_signatures(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "_seq long, text string")
     got = {x._seq: x.reason for x in D.dedup_reasons(df).collect()}
     assert got == {0: None, 1: "near_duplicate", 2: "near_duplicate", 3: "near_duplicate", 4: "near_duplicate", 5: "duplicate_prompt", 6: None}
+
+
+@pytest.mark.parametrize("spread", [6, 12, 20])
+def test_first_of_large_groups(spark, spread):
+    """Groups of near copies make no square of pairs, and chains through them end as in a pass row by row."""
+    r = np.random.RandomState(spread)
+    bases, rows = r.randint(0, 1 << 30, (3, 64)), []
+    for i in range(240):
+        sig = bases[min(i % 5, 2)].copy()
+        sig[r.permutation(64)[: r.randint(0, spread)]] = r.randint(0, 1 << 30)
+        rows.append((int(1000 - 3 * i if i % 2 else i), "", sig.tolist()))
+    rows.sort()
+    kept: dict[int, list] = {}
+    for k, _, sig in rows:
+        if all(sum(p == q for p, q in zip(sig, other, strict=True)) < 55 for other in kept.values()):
+            kept[k] = sig
+    got = D.first_of(spark.createDataFrame(rows, "k long, dedup_images string, dedup_sig array<int>")).collect()
+    assert sorted(x.k for x in got) == [k for k, _, _ in rows] and {x.k for x in got if x.kept} == set(kept)
