@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lodeweave.functions.text import let
+
 EPS_HALF, EPS_FLOAT = 1e-4, 1e-6
 
 
@@ -49,9 +51,8 @@ def values_retired(length: Column, sink: int = 32, buffer: int = 128) -> Column:
 def kl(p_logits: Column, q_logits: Column) -> Column:
     """Sum of p (log p - log q) over the classes of two rows of logits."""
     def log_softmax(x: Column) -> Column:
-        top = F.array_max(x)
-        total = F.log(F.aggregate(x, F.lit(0.0), lambda s, v: s + F.exp(v - top)))
-        return F.transform(x, lambda v: v - top - total)
+        less = lambda top: F.transform(x, lambda v: v - top)
+        return let(let(F.array_max(x), less), lambda y: let(F.log(F.aggregate(y, F.lit(0.0), lambda s, v: s + F.exp(v))), lambda total: F.transform(y, lambda v: v - total)))
 
     pairs = F.zip_with(log_softmax(p_logits), log_softmax(q_logits), lambda a, b: F.exp(a) * (a - b))
     return F.aggregate(pairs, F.lit(0.0), lambda s, v: s + v)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ from lodeweave.operators import dedup as D
 from lodeweave.operators import sampling as P
 from lodeweave.operators import verification as V
 from lodeweave.sources import adapters
+from lodeweave.sources.sinks import image_store
 from lodeweave.sources.storage import stored
 
 
@@ -96,3 +99,14 @@ def trajectories(tables: dict[str, DataFrame], catalog: DataFrame, most: int) ->
 def trajectory_verdicts(rows: DataFrame, run_code: bool = False) -> DataFrame:
     rows = rows.withColumn("problems", M.validate_trajectory())
     return rows.withColumn("__r", V.trajectory_reject(F.col("verify"), F.col("messages"), F.col("tools"), F.col("problems"), run_code)).withColumns({"reason": F.col("__r.reason"), "detail": F.col("__r.detail"), "accepted": F.col("__r.reason").isNull()}).drop("__r", "problems")
+
+
+def holdout(tables: dict[str, DataFrame], name: str, each: int) -> tuple[DataFrame, DataFrame]:
+    """(rows, images): the first `each` sound examples of each configuration's table, and the store's entries of their images."""
+    built = [adapters.image_rows(t, adapters.Context(name, config, "reasoning"), holdout=True) for config, t in tables.items()]
+    whole = reduce(DataFrame.unionByName, built)
+    sound = whole.filter(F.size(M.validate_example()) == 0)
+    rows = P.first_per_group(sound, ["source.config"], each)
+    raw = reduce(DataFrame.unionByName, [t.select(F.explode("images").alias("image")).select(F.col("image.bytes").alias("content")) for t in tables.values()])
+    wanted = rows.select(F.explode(M.image_shas(F.col("messages"))).alias("sha")).distinct()
+    return rows, image_store(raw.join(wanted, F.sha2("content", 256) == F.col("sha"), "left_semi"))

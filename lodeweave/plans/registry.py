@@ -46,10 +46,14 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def queries() -> dict[str, Query]:
+    from lodeweave.plans import parts  # noqa: F401  adds its own
+
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    from lodeweave.plans import parts  # noqa: F401  adds its own
+
     return dict(_SQL)
 
 
