@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodeweave import schema as S
@@ -364,6 +364,24 @@ def render_problems(messages: Column, tools: Column) -> Column:
     )
 
 
+def render_report(rows: DataFrame) -> DataFrame:
+    """The render gate over rows (messages, tools), one row: rows, failures, think tags opened and closed and whether they are balanced,
+    whether a stored thought survives (probe), and whether a generation prompt opens one (opens)."""
+    shown = rows.select(rendered(without_images(F.col("messages")), F.col("tools")).alias("shown"))
+    ask = text_message("user", F.lit("What is 1+1?"))
+    answer = text_message("assistant", F.lit("<think>\nOne plus one is two.\n</think>\n\nTwo."))
+    probe, opened = rendered(F.array(ask, answer)), rendered(F.array(ask), None, True)
+    by = shown.agg(
+        F.count("*").alias("rows"), F.count_if(F.col("shown").isNull()).alias("failures"),
+        *(F.coalesce(F.sum(F.regexp_count("shown", F.lit(tag))), F.lit(0)).cast("long").alias(name) for tag, name in (("<think>", "opened"), ("</think>", "closed"))),
+    )
+    return by.withColumns({
+        "balanced": F.col("opened") == F.col("closed"),
+        "probe": F.contains(probe, F.lit("<think>")) & F.contains(probe, F.lit("</think>")) & F.contains(probe, F.lit("One plus one is two.")),
+        "opens": F.contains(opened, F.lit("<think>")),
+    })
+
+
 def packed_text(messages: Column, tools: Column | None = None) -> Column:
     """A row as the student sees it, with white space collapsed; its assistant turns where it does not render."""
     return F.coalesce(T.strip(F.regexp_replace(rendered(without_images(messages), tools), r"(?U)\s+", " ")), all_assistant_text(messages))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodeweave import schema as S
@@ -40,18 +41,18 @@ def scanned(tables: dict[str, DataFrame], catalog: DataFrame, quotas: DataFrame,
     return out
 
 
-def judged(rows: DataFrame, mode: str = "md5") -> DataFrame:
+def judged(rows: DataFrame, mode: str = "md5", tokens: Callable[[str], Column] = T.count_tokens) -> DataFrame:
     """Canonical rows as prompts, with `reason`: why a row is dropped, or null.
 
     A row is asked in this order: has it a user turn and a text; has a kept earlier row its text, or nearly; have kept earlier
     rows all its images; do the filters and the validation pass. Only kept rows stand in another's way, so they are settled
-    among sound rows first, and every row is then held against them.
+    among sound rows first, and every row is then held against them. tokens: how the tokens of a text are counted.
     """
     rows = rows.withColumn("prompt", M.strip_to_prompt(F.col("messages")))
     text = M.prompt_text(F.col("prompt"))
     rows = rows.withColumns({"messages": F.coalesce("prompt", F.col("messages")), "text": F.when(F.col("prompt").isNotNull(), text), "no_turn": F.col("prompt").isNull()}).drop("prompt")
     shas = M.image_shas(F.col("messages"))
-    rows = rows.withColumns({"shas": shas, "domain": T.assign_domain("text", "domain"), "tokens": F.coalesce(T.count_tokens("text"), F.lit(0))})
+    rows = rows.withColumns({"shas": shas, "domain": T.assign_domain("text", "domain"), "tokens": F.coalesce(tokens("text"), F.lit(0))})
     rows = rows.withColumn("images", F.filter("images", lambda i: F.array_contains(F.col("shas"), i["sha256"])))
     own = F.when(F.col("no_turn"), "no_user_turn").when(F.col("text") == "", "empty_prompt")
     late = F.coalesce(T.prompt_reject_reason("text", F.col("tokens")), F.when(F.size(M.validate_prompt()) > 0, F.lit("invalid")))

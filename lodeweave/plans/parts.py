@@ -17,6 +17,7 @@ from lodeweave.functions import text as T
 from lodeweave.operators import aggregates as A
 from lodeweave.operators import contamination as C
 from lodeweave.operators import generation as G
+from lodeweave.operators import invention as V
 from lodeweave.operators import sampling as P
 from lodeweave.operators import windows as N
 from lodeweave.plans import corpus
@@ -242,6 +243,13 @@ def stdin_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adapters.stdin_rows(rows, adapters.Context("public/judge", None, "coding")).select("id", F.size("verify.pairs").alias("pairs"), F.element_at(F.element_at("verify.pairs", 1), 1).alias("first_in"))
 
 
+@query("""SELECT string_agg('Q: How long is ' || doc_id || '?' || chr(10) || 'A: It is' || chr(10) || n_chars, chr(10) ORDER BY doc_id) || chr(10) || chr(10) AS prompt FROM (SELECT * FROM documents ORDER BY doc_id LIMIT 8)""")
+def few_shot_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight solved examples before a question."""
+    rows = _t(spark, sf_dir, "documents").select(_n().alias("_seq"), F.concat(F.lit("How long is "), _n().cast("string"), F.lit("?")).alias("question"), F.concat(F.lit("It is\n#### "), _text("n_chars")).alias("answer"))
+    return V.few_shot(rows)
+
+
 # Dialogs with tools.
 
 _TOOL = '{"type": "function", "function": {"name": "size", "parameters": {"type": "object"}}}'
@@ -308,6 +316,11 @@ def tool_type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.alias_counts(_t(spark, sf_dir, "documents").select(F.array(tool).alias("tools")))
 
 
+@query("SELECT count(*) AS rows, 0::BIGINT AS failures, 2 * count(*) AS opened, 2 * count(*) AS closed, true AS balanced, true AS probe, true AS opens FROM documents")
+def render_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.render_report(_tool_dialogs(spark, sf_dir))
+
+
 # Images.
 
 
