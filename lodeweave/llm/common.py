@@ -82,6 +82,22 @@ def parts_for(spark: SparkSession, total_bytes: int, each: int) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(total_bytes) // each))
 
 
+#: Keys that have over 1/MOST_KEYS of all rows are joined by broadcast; there cannot be more of them than that.
+MOST_KEYS = 4096
+
+
+def join_spread(left: DataFrame, right: DataFrame, key: str, n: str, total: int) -> DataFrame:
+    """left with right's other columns by `key`, which is unique in right and never null; n: how many of left's `total` rows have it.
+
+    A key that holds a third of all rows would fill one task of a join. Keys with over total / MOST_KEYS rows go to all
+    tasks instead, so their rows stay where they are, whatever the size; the others are dealt by key. Both sides are read twice.
+    """
+    crowded = F.col(n) * MOST_KEYS > total
+    few = F.broadcast(right.filter(crowded).drop(n))  # MOST_KEYS rows at most
+    rest = left.join(F.broadcast(right.filter(crowded).select(key)), key, "left_anti")
+    return left.join(few, key).unionByName(rest.join(right.filter(~crowded).drop(n), key))
+
+
 def as_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodeweave.llm.common import read_table, small_batches, stored
+from lodeweave.llm.common import join_spread, read_table, small_batches, stored
 from lodeweave.llm.components import components
 
 WORDS, RADIUS, SEED = 4, 4, 42
@@ -151,19 +151,20 @@ def links(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE, parts: in
 
 
 def _rooted(distinct: DataFrame, radius: int) -> DataFrame:
-    """fp, first, root for distinct fingerprints (fp, first)."""
+    """distinct fingerprints (fp, and others) with their root."""
     roots = components(links(distinct.select("fp"), radius))
-    return distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    return distinct.join(roots, F.col("fp") == F.col("node"), "left").select(*distinct.columns, F.coalesce("root", "fp").alias("root"))
 
 
 def near_duplicates(docs: DataFrame, size: int = WORDS, radius: int = RADIUS) -> DataFrame:
     """doc_id, fp, component_id (the smallest doc_id that can be reached) of each row."""
     each = stored(fingerprints(docs, size), "fingerprints")
-    distinct = stored(each.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
-    rooted = _rooted(distinct, radius)
-    ids = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    # one fingerprint may be that of a third of all rows: the adaptive plan splits it in this join
-    return each.join(rooted.join(ids, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    distinct = stored(each.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")), "distinct")
+    rooted = stored(_rooted(distinct, radius), "rooted")
+    ids = stored(rooted.groupBy("root").agg(F.min("first").alias("component_id"), F.count("*").alias("members")), "roots")
+    # one component may have a third of all fingerprints, and one fingerprint a third of all rows
+    named = stored(join_spread(rooted, ids, "root", "members", rooted.count()).select("fp", "n", "component_id"), "named")
+    return join_spread(each, named, "fp", "n", each.count()).select("doc_id", "fp", "component_id")
 
 
 def deduplicated(docs: DataFrame, size: int = WORDS, radius: int = RADIUS) -> DataFrame:
