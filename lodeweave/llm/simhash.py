@@ -121,12 +121,13 @@ def linked_in(a: np.ndarray, b: np.ndarray, radius: int, same: bool) -> list[tup
 
 def links(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE, parts: int | None = None) -> DataFrame:
     """(a, b): spanning forests of the links within the radius between distinct fingerprints (fp)."""
+    n = distinct.count()
     if parts is None:
-        n = distinct.count()
         parts = max([2, *(p for least, p in MORE_PARTS if n >= least)])
     counted = distinct.select("fp", F.array(*_counts(parts)).alias("tile"))
-    shares = counted.groupBy("tile").agg(F.ceil(F.count("*") / tile).cast("int").alias("shares"))
-    tiles = counted.join(shares, "tile").groupBy("tile", F.pmod(F.xxhash64("fp"), F.col("shares")).alias("share")).agg(F.collect_list("fp").alias("fps"))
+    shares = stored(counted.groupBy("tile").agg(F.count("*").alias("n")).withColumn("shares", F.ceil(F.col("n") / tile).cast("int")), "shares")
+    # crowded tiles learn their shares where their rows are, so these are gathered to lists before they move
+    tiles = join_spread(counted, shares, "tile", "n", n).groupBy("tile", F.pmod(F.xxhash64("fp"), F.col("shares")).alias("share")).agg(F.collect_list("fp").alias("fps"))
     tiles = stored(tiles, "tiles")
     steps = F.array(*[F.array(*map(F.lit, x)) for x in _steps(parts, radius)])
     # the pairs to be compared, without their contents, dealt out evenly before the contents are joined
